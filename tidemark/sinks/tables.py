@@ -276,9 +276,16 @@ def create_view(df: DataFrame, catalog: str, schema: str, name: str) -> str:
 
 
 def create_table_if_absent(
-    spark: SparkSession, name: str, schema_ddl: str, file_format: str = "parquet"
+    spark: SparkSession,
+    name: str,
+    schema_ddl: str,
+    file_format: str = "parquet",
+    path: str | None = None,
 ) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING {file_format}")
+    location = f" LOCATION '{_quoted(path)}'" if path else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING {file_format}{location}"
+    )
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
