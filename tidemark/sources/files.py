@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.audit import add_audit
-from tidemark.workspace import is_file, path_exists
+from tidemark.workspace import is_file, path_exists, qualified_path
 
 FORMATS = ("parquet", "json", "csv", "orc")
 CORRUPT_RECORD = "_corrupt_record"
@@ -35,7 +35,8 @@ def discover(spark: SparkSession, root: str, formats: tuple[str, ...] = FORMATS)
         .load(root)
         .select("path")
     )
-    below = F.substring_index(F.col("path"), f"{_tail(root)}/", -1)
+    prefix = qualified_path(spark, root)
+    below = F.substring(F.col("path"), F.lit(len(prefix) + 2), F.length("path"))
     leaf = F.regexp_replace(F.substring_index("path", "/", -1), r"\.(gz|bz2|zst|lz4|snappy)$", "")
     return (
         listing.select(
@@ -47,10 +48,6 @@ def discover(spark: SparkSession, root: str, formats: tuple[str, ...] = FORMATS)
     )
 
 
-def _tail(root: str) -> str:
-    return root.rstrip("/").rsplit("/", 1)[-1]
-
-
 def _check_root(spark: SparkSession, root: str) -> None:
     if not path_exists(spark, root):
         raise FileNotFoundError(f"no landing folder {root}")

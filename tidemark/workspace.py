@@ -34,6 +34,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark reports it for files read from it."""
+    jpath, fs = _path_and_fs(spark, path.rstrip("/"))
+    return jpath.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     jpath, fs = _path_and_fs(spark, path)
     return bool(fs.exists(jpath)) and bool(fs.getFileStatus(jpath).isFile())
