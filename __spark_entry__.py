@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_customer": sales.dim_customer,
         "dim_supplier": sales.dim_supplier,
         "dim_part": sales.dim_part,
+        "dim_part_split": sales.dim_part_split,
         "dim_part_hashed": sales.dim_part_hashed,
         "fact_sales": sales.fact_sales,
         "fact_events": sales.fact_events,
@@ -232,6 +233,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_customer": _numbered("customer", "c_custkey", "customer"),
         "dim_supplier": _numbered("supplier", "s_suppkey", "supplier"),
         "dim_part": _numbered("part", "p_partkey", "part"),
+        "dim_part_split": _numbered("part", "p_partkey", "part"),
         "dim_part_hashed": """
             SELECT p_brand, count(*) AS parts, count(DISTINCT p_partkey) AS ids
             FROM part GROUP BY p_brand

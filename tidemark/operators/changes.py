@@ -106,7 +106,7 @@ def apply_changes(
     rows = to_log(changes, spec)
     if log is not None:
         rows = log.unionByName(rows)
-    return finish(reduce_log(rows, spec), spec, output_order(changes, spec))
+    return finish(reduce_log(rows, spec), spec, output_order(changes, spec), rows)
 
 
 def output_order(changes: DataFrame, spec: ChangeSpec) -> list[str]:
@@ -206,8 +206,16 @@ def _merge_columns(rows: DataFrame, by: list[str], payload: list[str]) -> DataFr
     )
 
 
-def finish(log: DataFrame, spec: ChangeSpec, columns: Sequence[str]) -> DataFrame:
-    """A reduced log as the target table, with the target's ``columns`` in order."""
+def finish(
+    log: DataFrame,
+    spec: ChangeSpec,
+    columns: Sequence[str],
+    unreduced: DataFrame | None = None,
+) -> DataFrame:
+    """A reduced log as the target table, with the target's ``columns`` in order.
+
+    ``unreduced`` is the log before its reduction, if at hand; see ``history``.
+    """
     if spec.scd_type == 2:
         payload = [c for c in columns if c not in spec.keys]
         return history.versions(
@@ -217,6 +225,7 @@ def finish(log: DataFrame, spec: ChangeSpec, columns: Sequence[str]) -> DataFram
             tracked=spec.tracked_columns(payload) if spec.tracks else None,
             fill_nulls=spec.ignore_null_updates,
             max_run_rows=spec.max_run_rows,
+            unreduced=unreduced,
         ).select(*columns, VALID_FROM, VALID_TO)
 
     rows = log

@@ -31,7 +31,8 @@ def cut_long_runs(log: DataFrame, keys: list[str], max_run_rows: int) -> DataFra
     """Keys with too many rows for one window, with their ascending cut points.
 
     Runs one aggregation over the key columns now, to decide the plan's shape;
-    returns None when no key needs cutting, which is the normal case.
+    returns None when no key needs cutting, which is the normal case. ``log`` may
+    hold more rows than the window will see (a log not yet reduced).
     """
     counts = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total, longest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
@@ -66,15 +67,17 @@ def versions(
     tracked: list[str] | None,
     fill_nulls: bool,
     max_run_rows: int = MAX_RUN_ROWS,
+    unreduced: DataFrame | None = None,
 ) -> DataFrame:
     """Versions of every key from a log with one row per key and sequence.
 
     ``tracked=None``: every upsert opens a version. Otherwise a version runs as
     long as the tracked columns stay equal and carries the last values of the
     others. A delete closes the open version. ``fill_nulls`` carries earlier
-    values into nulls, never past a delete.
+    values into nulls, never past a delete. Long runs are looked for in
+    ``unreduced`` if given: the log before its reduction, cheaper to count.
     """
-    cuts = cut_long_runs(log, keys, max_run_rows)
+    cuts = cut_long_runs(log if unreduced is None else unreduced, keys, max_run_rows)
     if cuts is None:
         rows = log.withColumn(_CHUNK, F.lit(0))
         by = keys

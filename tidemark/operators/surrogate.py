@@ -1,11 +1,12 @@
 """Surrogate keys that stay the same when a dimension is recomputed.
 
-``ordinal``: the position of a row in key order, counted from zero, without ever
-sorting the whole dimension in one task. The key range is cut at markers taken
-from the keys themselves (see ``functions.search``); rows are numbered within
-their bucket and shifted by the number of rows in the buckets before it. Only
-the markers and the bucket sizes, one of each per ``rows_per_bucket`` rows, pass
-through a scalar subquery.
+``ordinal``: the position of a row in key order, counted from zero. Up to
+``rows_per_bucket`` rows are numbered by one window; the row count is taken first,
+when the plan is built. A longer dimension is never sorted in one task: the key
+range is cut at markers taken from the keys themselves (see ``functions.search``),
+rows are numbered within their bucket and shifted by the number of rows in the
+buckets before it. Only the markers and the bucket sizes, one of each per
+``rows_per_bucket`` rows, pass through a scalar subquery.
 
 ``hash``: a 64-bit hash of the key; no shuffle.
 """
@@ -63,54 +64,54 @@ def _order_parts(df: DataFrame, key_names: list[str], unique: bool) -> list[Colu
 def _ordinal(
     df: DataFrame, key_names: list[str], name: str, rows_per_bucket: int, unique: bool
 ) -> DataFrame:
-    order = F.struct(*_order_parts(df, key_names, unique))
-    ordered = df.withColumn("_order", order)
+    ordered = df.withColumn("_order", F.struct(*_order_parts(df, key_names, unique)))
+    if df.count() <= rows_per_bucket:
+        placed = ordered.withColumn("_bucket", F.lit(0))
+        start = F.lit(0)
+    else:
+        markers = _markers(ordered, rows_per_bucket)
+        placed = _bucketed(ordered, markers).withColumn("_offsets", _offsets(ordered, markers))
+        # Bucket b > 0 holds at least marker b, so only bucket 0 can be missing from the list.
+        position = F.col("_bucket") + 1 - F.col("_offsets")[0]["_bucket"]
+        start = F.element_at("_offsets", position)["offset"]
 
-    markers = (
+    by_order = Window.partitionBy("_bucket").orderBy("_order")
+    ordinal = start + F.row_number().over(by_order) - 1
+    if unique:
+        repeated = F.lag("_order").over(by_order) == F.col("_order")
+        complaint = F.concat(F.lit("repeated business key "), F.to_json(F.col("_order")))
+        ordinal = F.when(repeated, F.raise_error(complaint).cast("long")).otherwise(ordinal)
+    return placed.withColumn(name, ordinal.cast("long")).select(*df.columns, name)
+
+
+def _markers(ordered: DataFrame, rows_per_bucket: int) -> Column:
+    return (
         ordered.filter(is_marker(F.col("_order"), rows_per_bucket))
         .agg(F.sort_array(F.collect_set("_order")).alias("markers"))
         .scalar()
     )
 
-    def bucketed(frame: DataFrame) -> DataFrame:
-        return (
-            frame.withColumn("_markers", markers)
-            .withColumn("_bucket", count_not_above(F.col("_markers"), F.col("_order")))
-            .drop("_markers")
-        )
 
-    # One row per bucket; the running total over them is a window on that short list.
-    sizes = bucketed(ordered.select("_order")).groupBy("_bucket").agg(
-        F.count(F.lit(1)).alias("size")
-    )
-    before = F.coalesce(
-        F.sum("size").over(
-            Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
-    )
-    offsets = (
-        sizes.select("_bucket", before.alias("offset"))
-        .agg(F.sort_array(F.collect_list(F.struct("_bucket", "offset"))).alias("offsets"))
-        .scalar()
+def _bucketed(ordered: DataFrame, markers: Column) -> DataFrame:
+    return (
+        ordered.withColumn("_markers", markers)
+        .withColumn("_bucket", count_not_above(F.col("_markers"), F.col("_order")))
+        .drop("_markers")
     )
 
-    # Bucket b > 0 holds at least marker b, so only bucket 0 can be missing from the list.
-    position = F.col("_bucket") + 1 - F.col("_offsets")[0]["_bucket"]
-    by_order = Window.partitionBy("_bucket").orderBy("_order")
-    numbered = (
-        bucketed(ordered)
-        .withColumn("_n", F.row_number().over(by_order))
-        .withColumn("_repeated", F.lag("_order").over(by_order) == F.col("_order"))
-        .withColumn("_offsets", offsets)
-        .withColumn("_start", F.element_at("_offsets", position)["offset"])
+
+def _offsets(ordered: DataFrame, markers: Column) -> Column:
+    """Per bucket the rows before it, as one sorted array of ``(_bucket, offset)``."""
+    sizes = (
+        _bucketed(ordered.select("_order"), markers)
+        .groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("size"))
     )
-    ordinal = F.col("_start") + F.col("_n") - 1
-    if unique:
-        ordinal = F.when(
-            F.col("_repeated"),
-            F.raise_error(
-                F.concat(F.lit("repeated business key "), F.to_json(F.col("_order")))
-            ).cast("long"),
-        ).otherwise(ordinal)
-    return numbered.select(*df.columns, ordinal.cast("long").alias(name))
+    # One row per bucket, so this running total is a window over a short list.
+    before = F.sum("size").over(
+        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    listed = sizes.select("_bucket", F.coalesce(before, F.lit(0)).alias("offset"))
+    return listed.agg(
+        F.sort_array(F.collect_list(F.struct("_bucket", "offset"))).alias("offsets")
+    ).scalar()

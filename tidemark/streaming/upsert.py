@@ -26,6 +26,9 @@ from tidemark.operators.changes import ChangeSpec, finish, output_order, reduce_
 from tidemark.sinks.tables import trigger_options
 from tidemark.workspace import child_names, is_complete
 
+# The keys of a log up to this many rows are broadcast when it meets a snapshot.
+SMALL_LOG_ROWS = 2_000_000
+
 
 @dataclass(frozen=True)
 class ChangeTarget:
@@ -71,8 +74,9 @@ class ChangeTarget:
         if not batches:
             return None
         last = max(batches)
-        merged = reduce_log(self._read(spark, snapshot, batches), self.spec)
-        merged.write.mode("overwrite").parquet(self._snapshot(last))
+        self._merged(spark, snapshot, batches).write.mode("overwrite").parquet(
+            self._snapshot(last)
+        )
         return last
 
     # -- reading ---------------------------------------------------------------
@@ -86,10 +90,35 @@ class ChangeTarget:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The target table as of the complete batches."""
-        log = self.log(spark)
-        if log is None:
+        snapshot, batches = self._state(spark)
+        if snapshot is None and not batches:
             raise FileNotFoundError(f"no complete batch below {self.root}")
-        return finish(reduce_log(log, self.spec), self.spec, self._columns(spark, log))
+        stored = self._read(spark, snapshot, batches)
+        merged = self._merged(spark, snapshot, batches)
+        return finish(merged, self.spec, self._columns(spark, stored), stored)
+
+    def _merged(self, spark: SparkSession, snapshot: int | None, batches: list[int]) -> DataFrame:
+        """Snapshot and batches as one reduced log.
+
+        A snapshot is reduced already. Against a small log only its rows with a
+        key of the log take part in the reduction; all others pass as they are,
+        neither shuffled nor sorted.
+        """
+        if not batches:
+            return self._read(spark, snapshot, [])
+        log = self._read(spark, None, batches)
+        if snapshot is None:
+            return reduce_log(log, self.spec)
+        stored = self._read(spark, snapshot, [])
+        if log.count() > SMALL_LOG_ROWS:
+            return reduce_log(stored.unionByName(log), self.spec)
+        changed = F.broadcast(log.select(*[F.col(k).alias(f"_in_{k}") for k in self.spec.keys]))
+        same = F.lit(True)
+        for k in self.spec.keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_in_{k}"))
+        touched = stored.join(changed, same, "left_semi").unionByName(log)
+        untouched = stored.join(changed, same, "left_anti")
+        return untouched.unionByName(reduce_log(touched, self.spec))
 
     # -- folders ---------------------------------------------------------------
 
@@ -100,10 +129,18 @@ class ChangeTarget:
         return f"{self.root}/snapshot={batch_id}"
 
     def _state(self, spark: SparkSession) -> tuple[int | None, list[int]]:
-        snapshots = _complete_ids(spark, self.root, "snapshot")
-        latest = max(snapshots) if snapshots else None
-        batches = _complete_ids(spark, f"{self.root}/log", "batch")
-        return latest, [b for b in batches if latest is None or b > latest]
+        """The latest complete snapshot and the complete batches after it."""
+        snapshot = None
+        for number in reversed(_numbers(spark, self.root, "snapshot")):
+            if is_complete(spark, self._snapshot(number)):
+                snapshot = number
+                break
+        later = [
+            b
+            for b in _numbers(spark, f"{self.root}/log", "batch")
+            if snapshot is None or b > snapshot
+        ]
+        return snapshot, [b for b in later if is_complete(spark, self._batch(b))]
 
     def _read(self, spark: SparkSession, snapshot: int | None, batches: list[int]) -> DataFrame:
         folders = [] if snapshot is None else [self._snapshot(snapshot)]
@@ -122,11 +159,11 @@ class ChangeTarget:
         return [c for c in log.columns if c not in internal]
 
 
-def _complete_ids(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
     found = []
     for name in child_names(spark, folder):
         kind, _, number = name.partition("=")
-        if kind == prefix and number.isdigit() and is_complete(spark, f"{folder}/{name}"):
+        if kind == prefix and number.isdigit():
             found.append(int(number))
     return sorted(found)
 
