@@ -7,7 +7,7 @@ and as ship date). The lookup replaces them by ``<dim>_id`` and ``<dim>_<role>_i
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +21,9 @@ ID_SUFFIX = "_id"
 # Rows without a key match nothing; they are spread over this many join buckets.
 NULL_KEY_BUCKETS = 4096
 
+# Dimensions whose size does not depend on the data: a calendar has one row per day.
+BOUNDED_DIMENSIONS = ("calendar",)
+
 
 @dataclass(frozen=True)
 class KeyRole:
@@ -94,19 +97,22 @@ def lookup_keys(
     hot_keys: Mapping[str, list] | None = None,
     hot_key_buckets: int = 64,
     spread_by: list[str] | None = None,
+    bounded: Collection[str] = BOUNDED_DIMENSIONS,
 ) -> DataFrame:
     """Replace the key columns of ``fact`` by surrogate ids.
 
     Each key is a left equi-join with two columns of its dimension, so a key
     without a match gives a NULL id and a repeated dimension key repeats the fact
-    row. No dimension is hinted as broadcast: Spark broadcasts it when its size is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles.
+    row. Only ``bounded`` dimensions are hinted as broadcast; for any other Spark
+    broadcasts it when its size is below ``spark.sql.autoBroadcastJoinThreshold``
+    and otherwise shuffles.
 
     A shuffled lookup also keys on a salt: rows without a key are spread by a hash
     of the ``spread_by`` columns (default: the fact's own ids and its keys; few, so
     that a query on the fact still reads few columns), and the values listed in
     ``hot_keys[column]`` (see ``hot_values``) over ``hot_key_buckets`` tasks by
-    repeating just those few dimension rows.
+    repeating just those few dimension rows. Values not listed are left to adaptive
+    execution, which splits an oversized partition of a left join by itself.
     """
     lookups = key_roles(fact.columns, roles)
     missing = sorted({r.dimension for r in lookups.values()} - set(dimensions))
@@ -121,14 +127,20 @@ def lookup_keys(
     row_hash = F.xxhash64(*[F.col(c) for c in spread])
     result = fact
     for column, role in lookups.items():
+        slim = dimensions[role.dimension].select(
+            F.col(f"{role.dimension}{KEY_SUFFIX}").alias(f"_dim_{column}"),
+            F.col(f"{role.dimension}{ID_SUFFIX}").alias(role.id_column),
+        )
+        match = F.col(column) == F.col(f"_dim_{column}")
+        if role.dimension in bounded:
+            result = result.join(F.broadcast(slim), match, "left").drop(f"_dim_{column}")
+            continue
         hot = list((hot_keys or {}).get(column, []))
-        dim = dimensions[role.dimension]
-        slim = _salted_dimension(dim, role, column, hot, hot_key_buckets)
         result = (
             result.withColumn("_salt", _fact_salt(F.col(column), row_hash, hot, hot_key_buckets))
             .join(
-                slim,
-                (F.col(column) == F.col(f"_dim_{column}")) & (F.col("_salt") == F.col("_dim_salt")),
+                _salted(slim, F.col(f"_dim_{column}"), hot, hot_key_buckets),
+                match & (F.col("_salt") == F.col("_dim_salt")),
                 "left",
             )
             .drop("_salt", "_dim_salt", f"_dim_{column}")
@@ -150,14 +162,7 @@ def _fact_salt(key: Column, row_hash: Column, hot: list, buckets: int) -> Column
     return salt.otherwise(_key_salt(key))
 
 
-def _salted_dimension(
-    dim: DataFrame, role: KeyRole, column: str, hot: list, buckets: int
-) -> DataFrame:
-    slim = dim.select(
-        F.col(f"{role.dimension}{KEY_SUFFIX}").alias(f"_dim_{column}"),
-        F.col(f"{role.dimension}{ID_SUFFIX}").alias(role.id_column),
-    )
-    key = F.col(f"_dim_{column}")
+def _salted(slim: DataFrame, key: Column, hot: list, buckets: int) -> DataFrame:
     if not hot:
         return slim.withColumn("_dim_salt", _key_salt(key))
     copies = F.when(

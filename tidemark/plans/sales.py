@@ -14,7 +14,7 @@ from tidemark.functions.calendar import CALENDAR_START, calendar, calendar_spann
 from tidemark.operators import bookings as booking_ops
 from tidemark.operators.metrics import Dimension, Join, Measure, MetricView
 from tidemark.operators.quality import Rule, expect, row_filter, violations
-from tidemark.operators.star import dimension, fact, lookup_keys
+from tidemark.operators.star import dimension, fact, hot_values, lookup_keys
 from tidemark.sinks.tables import (
     TableLayout,
     append_rows,
@@ -145,7 +145,7 @@ def lookup_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A lookup whose fact has two hot values and many null keys, with the hot ones spread."""
+    """A lookup whose fact has hot values and many null keys; the hot ones are found and spread."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "F", F.lit(7).cast("long"))
@@ -155,7 +155,8 @@ def lookup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("customer_key"),
     )
     dims = {"customer": dim_customer(spark, sf_dir)}
-    return lookup_keys(orders, dims, hot_keys={"customer_key": [7, 11]})
+    hot = hot_values(orders, "customer_key", share=0.1)
+    return lookup_keys(orders, dims, hot_keys={"customer_key": hot})
 
 
 # -- metrics ---------------------------------------------------------------------

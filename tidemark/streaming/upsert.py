@@ -13,16 +13,14 @@ the same table as all changes at once, also when a later batch brings older rows
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import ChangeSpec, finish, output_order, reduce_log, to_log
+from tidemark.operators.changes import OP, SEQ, ChangeSpec, finish, reduce_log, to_log
 from tidemark.sinks.tables import trigger_options
 from tidemark.workspace import child_names, is_complete
 
@@ -52,9 +50,6 @@ class ChangeTarget:
         interval: str = "1 minute",
     ) -> StreamingQuery:
         """Follow ``stream``. Each progress event counts rows and rejected rows under ``feed``."""
-        order = output_order(stream, self.spec)
-        schema = T.StructType([stream.schema[c] for c in order])
-        self._remember(stream.sparkSession, schema)
         counted = stream.observe(
             "feed",
             F.count(F.lit(1)).alias("rows"),
@@ -89,13 +84,14 @@ class ChangeTarget:
         return self._read(spark, snapshot, batches)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """The target table as of the complete batches."""
+        """The target table as of the complete batches: keys first, then the other columns."""
         snapshot, batches = self._state(spark)
         if snapshot is None and not batches:
             raise FileNotFoundError(f"no complete batch below {self.root}")
         stored = self._read(spark, snapshot, batches)
         merged = self._merged(spark, snapshot, batches)
-        return finish(merged, self.spec, self._columns(spark, stored), stored)
+        columns = [c for c in merged.columns if c not in (SEQ, OP)]
+        return finish(merged, self.spec, columns, stored)
 
     def _merged(self, spark: SparkSession, snapshot: int | None, batches: list[int]) -> DataFrame:
         """Snapshot and batches as one reduced log.
@@ -146,18 +142,6 @@ class ChangeTarget:
         folders = [] if snapshot is None else [self._snapshot(snapshot)]
         return spark.read.parquet(*folders, *[self._batch(b) for b in batches])
 
-    def _remember(self, spark: SparkSession, schema: T.StructType) -> None:
-        spark.createDataFrame([(json.dumps(schema.fieldNames()),)], "value string").coalesce(
-            1
-        ).write.mode("overwrite").text(f"{self.root}/columns")
-
-    def _columns(self, spark: SparkSession, log: DataFrame) -> list[str]:
-        """The target's columns in feed order, as noted when the stream was started."""
-        if is_complete(spark, f"{self.root}/columns"):
-            return json.loads(spark.read.text(f"{self.root}/columns", wholetext=True).first()[0])
-        internal = {"_seq", "_op"}
-        return [c for c in log.columns if c not in internal]
-
 
 def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
     found = []
