@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.amounts import content_guid, iso_date, iso_timestamp, random_guid
+from tidemark.functions.salting import key_salt, spreading_salt
 from tidemark.operators.quality import Rule, expectations
 
 # Columns of a booking and of a confirmed booking.
@@ -67,14 +68,25 @@ def pending(
 ) -> DataFrame:
     """Bookings without a confirmation.
 
-    The default is a plain anti join. ``null_aware`` has the meaning of SQL
+    The default is a plain anti join; bookings without a key are all pending and
+    are spread over the shuffle. ``null_aware`` has the meaning of SQL
     ``NOT IN``: a null among the confirmed keys leaves nothing, and a null key is
     pending only if nothing is confirmed. It is built from the anti join and two
     scalars instead of Spark's own null-aware join, which always broadcasts the
     confirmed side, whatever its size.
     """
     done = confirmed.select(F.col(key).alias("_done"))
-    open_rows = bookings.join(done, F.col(key) == F.col("_done"), "left_anti")
+    salted = done.withColumn("_done_salt", key_salt(F.col("_done")))
+    row_hash = F.xxhash64(F.to_json(F.struct("*")))
+    open_rows = (
+        bookings.withColumn("_salt", spreading_salt(F.col(key), row_hash))
+        .join(
+            salted,
+            (F.col(key) == F.col("_done")) & (F.col("_salt") == F.col("_done_salt")),
+            "left_anti",
+        )
+        .drop("_salt")
+    )
     if not null_aware:
         return open_rows
     facts = done.agg(

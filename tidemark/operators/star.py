@@ -13,14 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.salting import hot_copies, key_salt, spreading_salt
 from tidemark.operators.surrogate import ROWS_PER_BUCKET, duplicate_keys, surrogate_key
 
 KEY_SUFFIX = "_key"
 ID_SUFFIX = "_id"
 
-# Rows without a key match nothing; they are spread over this many join buckets.
-NULL_KEY_BUCKETS = 4096
-
 # Dimensions whose size does not depend on the data: a calendar has one row per day.
 BOUNDED_DIMENSIONS = ("calendar",)
 
@@ -137,7 +135,9 @@ def lookup_keys(
             continue
         hot = list((hot_keys or {}).get(column, []))
         result = (
-            result.withColumn("_salt", _fact_salt(F.col(column), row_hash, hot, hot_key_buckets))
+            result.withColumn(
+                "_salt", spreading_salt(F.col(column), row_hash, hot, hot_key_buckets)
+            )
             .join(
                 _salted(slim, F.col(f"_dim_{column}"), hot, hot_key_buckets),
                 match & (F.col("_salt") == F.col("_dim_salt")),
@@ -148,28 +148,10 @@ def lookup_keys(
     return ids_first(drop_keys(result, lookups))
 
 
-def _key_salt(key: Column) -> Column:
-    # A function of the key on both sides: equal keys meet, and the optimizer
-    # cannot fold it into a constant that would put all NULL keys into one task.
-    return F.pmod(F.xxhash64(key), F.lit(NULL_KEY_BUCKETS).cast("long"))
-
-
-def _fact_salt(key: Column, row_hash: Column, hot: list, buckets: int) -> Column:
-    salt = F.when(key.isNull(), F.pmod(row_hash, F.lit(NULL_KEY_BUCKETS).cast("long")))
-    if hot:
-        # Below zero, so that hot buckets never mix with those of other keys.
-        salt = salt.when(key.isin(hot), -1 - F.pmod(row_hash, F.lit(buckets).cast("long")))
-    return salt.otherwise(_key_salt(key))
-
-
 def _salted(slim: DataFrame, key: Column, hot: list, buckets: int) -> DataFrame:
-    if not hot:
-        return slim.withColumn("_dim_salt", _key_salt(key))
-    copies = F.when(
-        key.isin(hot),
-        F.transform(F.sequence(F.lit(1), F.lit(buckets)), lambda i: (-i).cast("long")),
-    ).otherwise(F.array(_key_salt(key)))
-    return slim.withColumn("_dim_salt", F.explode(copies))
+    if hot:
+        return slim.withColumn("_dim_salt", F.explode(hot_copies(key, hot, buckets)))
+    return slim.withColumn("_dim_salt", key_salt(key))
 
 
 def hot_values(fact: DataFrame, column: str, share: float = 0.01) -> list:
