@@ -8,8 +8,10 @@ the same outcome, because every reduction is a maximum over
 compaction safe. ``finish`` turns a reduced log into the target table.
 
 Ties. On an equal sequence a truncate beats a delete, a delete beats an upsert,
-and among upserts the row with the greater content wins. Rows whose sequence is
-null are rejected (``rejected`` lists them). Null key parts compare as equal.
+and among upserts the row with the greater content wins; with ``ignore_null_updates``
+tied upserts merge column by column, in the order of a content hash. Rows whose
+sequence is null are rejected (``rejected`` lists them). Null key parts compare as
+equal.
 """
 
 from __future__ import annotations

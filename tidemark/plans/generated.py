@@ -16,32 +16,42 @@ from tidemark.workspace import shared_folder
 LANDING_DAY = dt.date(2024, 6, 30)
 
 
+def generated_parties_of(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+    """One house per part and one seller per supplier."""
+    house = _stored(
+        landing.lakehouses(_ids(spark, sf_dir, "part", "p_partkey"), LANDING_DAY),
+        f"{root}/lakehouse",
+    )
+    suppliers = _ids(spark, sf_dir, "supplier", "s_suppkey")
+    seller = _stored(landing.sellers(suppliers, house, LANDING_DAY), f"{root}/seller")
+    return {"lakehouse": house, "seller": seller}
+
+
 def generated_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One customer, seller, house and rental per customer, supplier, part and order."""
+    """Those, one customer per customer, and one rental with its review per order."""
     root = shared_folder(spark, "landing")
+    data = generated_parties_of(spark, sf_dir, root)
+    buyers = _ids(spark, sf_dir, "customer", "c_custkey")
+    data["customer"] = _stored(landing.customers(buyers, LANDING_DAY), f"{root}/customer")
+    rentals = landing.rentals(
+        _ids(spark, sf_dir, "orders", "o_orderkey"),
+        data["customer"],
+        data["seller"],
+        data["lakehouse"],
+        LANDING_DAY,
+    )
+    data["lakehouse_rentals"] = _stored(rentals, f"{root}/lakehouse_rentals")
+    data["reviews"] = _stored(landing.reviews(data["lakehouse_rentals"]), f"{root}/reviews")
+    return data
 
-    def store(df: DataFrame, name: str) -> DataFrame:
-        write_files(df, f"{root}/{name}", "parquet")
-        return spark.read.parquet(f"{root}/{name}")
 
-    def ids(name: str, key: str) -> DataFrame:
-        return table(spark, sf_dir, name).select(key)
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    write_files(df, path, "parquet")
+    return df.sparkSession.read.parquet(path)
 
-    customer = store(landing.customers(ids("customer", "c_custkey"), LANDING_DAY), "customer")
-    house = store(landing.lakehouses(ids("part", "p_partkey"), LANDING_DAY), "lakehouse")
-    seller = store(landing.sellers(ids("supplier", "s_suppkey"), house, LANDING_DAY), "seller")
-    orders = ids("orders", "o_orderkey")
-    rental = store(
-        landing.rentals(orders, customer, seller, house, LANDING_DAY), "lakehouse_rentals"
-    )
-    review = store(landing.reviews(rental), "reviews")
-    return {
-        "customer": customer,
-        "lakehouse": house,
-        "seller": seller,
-        "lakehouse_rentals": rental,
-        "reviews": review,
-    }
+
+def _ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    return table(spark, sf_dir, name).select(key)
 
 
 def generated_star(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +84,7 @@ def generated_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def generated_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for houses and sellers: amenities differ, guests fit, assigned names exist."""
-    data = generated_entities(spark, sf_dir)
+    data = generated_parties_of(spark, sf_dir, shared_folder(spark, "parties"))
     houses = data["lakehouse"].agg(
         F.count(F.lit(1)).alias("houses"),
         F.count_if(~F.size("amenities").between(3, 6)).alias("wrong_amenity_counts"),

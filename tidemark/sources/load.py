@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.sources.files import file_stream
 from tidemark.sources.tables import read_table, table_stream
@@ -18,8 +19,9 @@ class LoadSpec:
     """Where a table comes from.
 
     ``table``: batch scan of ``name``. ``table_stream``: stream of ``name``, with
-    audit column. ``volume``: stream of the files in ``path``, with audit column.
-    ``dataframe``: the given frame as it is.
+    audit column. ``volume``: stream of the files in ``path``, with audit column;
+    without ``schema`` the files are read once to infer it. ``dataframe``: the given
+    frame as it is.
     """
 
     loadtype: str = "dataframe"
@@ -28,6 +30,7 @@ class LoadSpec:
     filetype: str | None = None
     dataframe: DataFrame | None = None
     source_system: str = "landing"
+    schema: T.StructType | None = None
     schema_location: str | None = None
     max_files_per_trigger: int | None = None
 
@@ -55,6 +58,7 @@ def load(spark: SparkSession, spec: LoadSpec) -> DataFrame:
             spark,
             spec.path,
             spec.filetype,
+            schema=spec.schema,
             schema_location=spec.schema_location,
             audit_source=spec.source_system,
             max_files_per_trigger=spec.max_files_per_trigger,
