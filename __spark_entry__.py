@@ -113,7 +113,7 @@ _METRIC = f"""
         SELECT lines.*, c.calendar_id AS calendar_order_id, year(c.d) AS order_year,
                month(c.d) AS order_month, cu.customer_id, cu.c_mktsegment, s.s_name,
                p.p_size > 25 AS is_large, p.p_type = 'ECONOMY' AS is_economy,
-               p.p_retailprice > 1000 AS is_premium
+               p.p_retailprice > 950 AS is_premium
         FROM lines
         LEFT JOIN calendar c ON c.d = lines.order_day
         LEFT JOIN customers cu ON cu.customer_key = lines.o_custkey

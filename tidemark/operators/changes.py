@@ -21,9 +21,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators import history
+from tidemark.operators.latest import greatest_row, is_orderable, orderable
 
 SEQ = "_seq"
 OP = "_op"
@@ -108,7 +108,10 @@ def apply_changes(
     rows = to_log(changes, spec)
     if log is not None:
         rows = log.unionByName(rows)
-    return finish(reduce_log(rows, spec), spec, output_order(changes, spec), rows)
+    columns = output_order(changes, spec)
+    if spec.scd_type == 2:  # the window over a key sorts its rows anyway and reduces them there
+        return finish(rows, spec, columns)
+    return finish(reduce_log(rows, spec), spec, columns)
 
 
 def output_order(changes: DataFrame, spec: ChangeSpec) -> list[str]:
@@ -148,7 +151,7 @@ def _lift(rows: DataFrame, keys: list[Column], payload: list[str]) -> DataFrame:
     A delete sets every column to null at its own position; a null in an upsert
     sets nothing.
     """
-    tie = F.xxhash64(*[_orderable(rows, c) for c in payload]) if payload else F.lit(0)
+    tie = F.xxhash64(*[orderable(rows, c) for c in payload]) if payload else F.lit(0)
     placed = rows.withColumn(TIE, tie.cast("long"))
 
     def entry(name: str) -> Column:
@@ -169,9 +172,9 @@ def reduce_log(log: DataFrame, spec: ChangeSpec) -> DataFrame:
     """
     payload = [c for c in log.columns if c not in (*spec.keys, SEQ, OP)]
     if spec.scd_type == 2:
-        return _pick(log, [*spec.keys, SEQ], [OP], payload)
+        return greatest_row(log, [*spec.keys, SEQ], [OP], payload)
     if not spec.ignore_null_updates:
-        return _by_kind(log, spec, lambda rows, by: _pick(rows, by, [SEQ, OP], payload))
+        return _by_kind(log, spec, lambda rows, by: greatest_row(rows, by, [SEQ, OP], payload))
     return _by_kind(log, spec, lambda rows, by: _merge_columns(rows, by, payload))
 
 
@@ -183,20 +186,10 @@ def _by_kind(log: DataFrame, spec: ChangeSpec, reduction) -> DataFrame:
     return reduction(marked, [*spec.keys, "_truncate"]).select(*log.columns)
 
 
-def _pick(rows: DataFrame, by: list[str], order: list[str], payload: list[str]) -> DataFrame:
-    """The whole row with the greatest (order, payload) per group."""
-    if all(_is_orderable(rows.schema[c].dataType) for c in payload):
-        best = F.max(F.struct(*order, *payload))
-    else:
-        ties = [_orderable(rows, c).alias(f"t{i}") for i, c in enumerate(payload)]
-        best = F.max_by(F.struct(*order, *payload), F.struct(*order, *ties))
-    return rows.groupBy(*by).agg(best.alias("_best")).select(*by, "_best.*")
-
-
 def _merge_columns(rows: DataFrame, by: list[str], payload: list[str]) -> DataFrame:
     def latest(name: str) -> Column:
         entry = F.col(name)
-        if _is_orderable(rows.schema[name].dataType):
+        if is_orderable(rows.schema[name].dataType):
             return F.max(entry).alias(name)
         position = F.when(entry.isNotNull(), F.struct(entry[SEQ], entry[OP], entry[TIE]))
         return F.max_by(entry, position).alias(name)
@@ -208,15 +201,10 @@ def _merge_columns(rows: DataFrame, by: list[str], payload: list[str]) -> DataFr
     )
 
 
-def finish(
-    log: DataFrame,
-    spec: ChangeSpec,
-    columns: Sequence[str],
-    unreduced: DataFrame | None = None,
-) -> DataFrame:
-    """A reduced log as the target table, with the target's ``columns`` in order.
+def finish(log: DataFrame, spec: ChangeSpec, columns: Sequence[str]) -> DataFrame:
+    """A log as the target table, with the target's ``columns`` in order.
 
-    ``unreduced`` is the log before its reduction, if at hand; see ``history``.
+    The log must be reduced for type 1; for type 2 it may be.
     """
     if spec.scd_type == 2:
         payload = [c for c in columns if c not in spec.keys]
@@ -227,7 +215,6 @@ def finish(
             tracked=spec.tracked_columns(payload) if spec.tracks else None,
             fill_nulls=spec.ignore_null_updates,
             max_run_rows=spec.max_run_rows,
-            unreduced=unreduced,
         ).select(*columns, VALID_FROM, VALID_TO)
 
     rows = log
@@ -250,18 +237,3 @@ def finish(
         return F.col(name)["v"].alias(name)
 
     return rows.select(*[value(c) for c in columns])
-
-
-def _is_orderable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.StructType):
-        return all(_is_orderable(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, T.ArrayType):
-        return _is_orderable(dtype.elementType)
-    return not isinstance(dtype, (T.MapType, T.VariantType))
-
-
-def _orderable(df: DataFrame, name: str) -> Column:
-    """The column itself, or its JSON text where the type has no order (maps)."""
-    if _is_orderable(df.schema[name].dataType):
-        return F.col(name)
-    return F.to_json(F.struct(name))

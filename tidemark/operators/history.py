@@ -5,7 +5,7 @@ longer than ``max_run_rows`` are cut into chunks at markers taken from the
 sequence values themselves; chunks are windowed on their own and joined up by
 what each passes to its neighbours: the columns filled so far, the open version
 and the next row. Those *edges* are one row per chunk. There are at most about
-20 000 chunks of cut keys by construction (see ``cut_long_runs``), which is why
+100 000 chunks of cut keys by construction (see ``cut_long_runs``), which is why
 their two small tables may be broadcast.
 """
 
@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.search import count_not_above, is_marker
+from tidemark.operators.latest import greatest_row
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
-MAX_RUN_ROWS = 5_000_000
+MAX_RUN_ROWS = 1_000_000
 # A key is cut only if it owns more than 1/MAX_CUT_KEYS of all rows, so fewer keys
 # than this can be cut, whatever the data.
-MAX_CUT_KEYS = 10_000
+MAX_CUT_KEYS = 50_000
 
 _SEQ, _OP, _CHUNK, _DELETE = "_seq", "_op", "_chunk", 1
 
@@ -31,8 +32,8 @@ def cut_long_runs(log: DataFrame, keys: list[str], max_run_rows: int) -> DataFra
     """Keys with too many rows for one window, with their ascending cut points.
 
     Runs one aggregation over the key columns now, to decide the plan's shape;
-    returns None when no key needs cutting, which is the normal case. ``log`` may
-    hold more rows than the window will see (a log not yet reduced).
+    returns None when no key needs cutting, which is the normal case. Rows of equal
+    sequence are all counted here, so a run may be cut a little too often.
     """
     counts = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total, longest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
@@ -67,20 +68,20 @@ def versions(
     tracked: list[str] | None,
     fill_nulls: bool,
     max_run_rows: int = MAX_RUN_ROWS,
-    unreduced: DataFrame | None = None,
 ) -> DataFrame:
-    """Versions of every key from a log with one row per key and sequence.
+    """Versions of every key from its log; of rows with equal sequence the greatest counts.
 
     ``tracked=None``: every upsert opens a version. Otherwise a version runs as
     long as the tracked columns stay equal and carries the last values of the
     others. A delete closes the open version. ``fill_nulls`` carries earlier
-    values into nulls, never past a delete. Long runs are looked for in
-    ``unreduced`` if given: the log before its reduction, cheaper to count.
+    values into nulls, never past a delete.
+
+    Without cut keys rows are shuffled once, by key: the choice among equal sequences
+    and all windows then work on the same partitions and sort order.
     """
-    cuts = cut_long_runs(log if unreduced is None else unreduced, keys, max_run_rows)
+    cuts = cut_long_runs(log, keys, max_run_rows)
     if cuts is None:
-        rows = log.withColumn(_CHUNK, F.lit(0))
-        by = keys
+        rows, by = log, keys
     else:
         rows = (
             log.join(F.broadcast(cuts), _same_keys(keys), "left")
@@ -95,6 +96,11 @@ def versions(
         )
         by = [*keys, _CHUNK]
     chunked = cuts is not None
+    # A cut key may repeat one sequence very often, so there the choice among equal
+    # sequences starts before the shuffle.
+    marks = ["_is_cut"] if chunked else []
+    spread = rows if chunked else rows.repartition(*by)
+    rows = greatest_row(spread, [*by, _SEQ], [_OP], [*payload, *marks])
     if fill_nulls:
         rows = _fill(rows, keys, by, payload, chunked)
     state = _state(rows, tracked)

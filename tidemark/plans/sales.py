@@ -176,7 +176,7 @@ METRIC_DIMENSIONS = {
     "Part_Brand": ("part", "p_brand"),
     "Part_Is_Large": ("part", "p_size > 25"),
     "Part_Is_Economy": ("part", "p_type = 'ECONOMY'"),
-    "Part_Is_Premium": ("part", "p_retailprice > 1000"),
+    "Part_Is_Premium": ("part", "p_retailprice > 950"),
 }
 METRIC_JOINS = {
     "calendar": ("calendar_order_key", "calendar_order_id", "calendar_id"),

@@ -88,10 +88,11 @@ class ChangeTarget:
         snapshot, batches = self._state(spark)
         if snapshot is None and not batches:
             raise FileNotFoundError(f"no complete batch below {self.root}")
-        stored = self._read(spark, snapshot, batches)
-        merged = self._merged(spark, snapshot, batches)
-        columns = [c for c in merged.columns if c not in (SEQ, OP)]
-        return finish(merged, self.spec, columns, stored)
+        if self.spec.scd_type == 2:
+            log = self._read(spark, snapshot, batches)
+        else:
+            log = self._merged(spark, snapshot, batches)
+        return finish(log, self.spec, [c for c in log.columns if c not in (SEQ, OP)])
 
     def _merged(self, spark: SparkSession, snapshot: int | None, batches: list[int]) -> DataFrame:
         """Snapshot and batches as one reduced log.
