@@ -61,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_warn": sales.expect_warn,
         "expect_drop": sales.expect_drop,
         "expect_all_drop": sales.expect_all_drop,
+        "expect_all_fail": sales.expect_or_fail,
         "row_filter_view": sales.row_filter_view,
         "private_table": sales.private_table,
         "stored_layout": sales.stored_layout,
@@ -395,6 +396,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "expect_drop": "SELECT * FROM lineitem WHERE l_discount <= 0.08",
         "expect_all_drop": f"SELECT * FROM lineitem WHERE {' AND '.join(_LINE_RULES.values())}",
+        "expect_all_fail": "SELECT * FROM lineitem",
         "row_filter_view": """
             SELECT * FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 100000
         """,

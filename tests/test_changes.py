@@ -212,6 +212,26 @@ def test_only_long_runs_are_cut(spark):
     assert cut_long_runs(log, ["k"], 200) is None
 
 
+def test_a_hot_key_repeating_one_sequence_is_reduced_before_the_shuffle(spark):
+    log = spark.range(400).select(
+        F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        (F.col("id") % 3).alias("seq"),
+        F.lit("u").alias("op"),
+        F.col("id").alias("a"),
+        F.lit(None).cast("string").alias("b"),
+    )
+    cut = apply_changes(log, spec(scd_type=2, max_run_rows=10))
+    whole = apply_changes(log, spec(scd_type=2))
+    assert history(cut) == history(whole)
+    assert len([v for v in history(cut) if v[0] == "hot"]) == 3
+
+
+def test_history_takes_one_shuffle_and_one_sort(spark):
+    changes = apply_changes(frame(spark, [row("x", 1)]), spec(scd_type=2, track=["a"]))
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
 def test_the_reduction_starts_before_the_shuffle(spark):
     plan = apply_changes(frame(spark, [row("x", 1)]), spec())._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan ==") :]

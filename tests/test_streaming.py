@@ -148,3 +148,19 @@ def test_flows_from_config(spark, tmp_path):
 def test_bad_config_is_refused(bad):
     with pytest.raises(ValueError):
         specs_from_config({"t": bad})
+
+
+def test_a_continuous_flow_follows_new_files_until_stopped(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(spark, [row("x", 1, a=1)], landing)
+    target = ChangeTarget(str(tmp_path / "target"), spec(name="continuous"))
+    stream = file_stream(spark, landing, "parquet")
+    query = target.start(stream, str(tmp_path / "cp"), once=False, interval="200 milliseconds")
+    try:
+        query.processAllAvailable()
+        land(spark, [row("x", 2, a=2)], landing, "append")
+        query.processAllAvailable()
+        assert query.isActive and query.name == "continuous"
+        assert current(target.table(spark)) == {"x": (2, None)}
+    finally:
+        query.stop()

@@ -91,6 +91,7 @@ def ingest_raw(
     twice = {r.dataset for r in found if [x.dataset for x in found].count(r.dataset) > 1}
     if twice:
         raise ValueError(f"datasets with files of several formats: {sorted(twice)}")
+    queries = []
     for row in found:
         stream = file_stream(
             spark,
@@ -99,12 +100,13 @@ def ingest_raw(
             schema_location=f"{raw}/_schemas/{row.dataset}",
             audit_source=source_system,
         )
-        query = (
+        queries.append(
             stream.writeStream.format("parquet")
             .option("checkpointLocation", f"{checkpoints}/raw/{row.dataset}")
             .trigger(availableNow=True)
             .start(f"{raw}/{row.dataset}")
         )
+    for query in queries:
         query.awaitTermination()
     return [row.dataset for row in found]
 

@@ -304,6 +304,12 @@ def expect_all_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expect(table(spark, sf_dir, "lineitem"), LINE_RULES, "expect_all_or_drop")[0]
 
 
+def expect_or_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that every line keeps; the first that did not would end the job."""
+    rules = {"some quantity": "l_quantity > 0", "discount is a share": "l_discount between 0 and 1"}
+    return expect(table(spark, sf_dir, "lineitem"), rules, "expect_all_or_fail")[0]
+
+
 def row_filter_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A view of the orders a reader may see."""
     visible = row_filter(
