@@ -74,6 +74,8 @@ def test_facts_have_ids_first_and_no_misses(lake):
     assert curated.rentals.filter(" or ".join(f"{c} is null" for c in ids)).count() == 0
     assert curated.reviews.columns[:2] == ["rental_id", "calendar_review_id"]
     assert all(df.count() == 0 for df in fan_out(curated.dimensions).values())
+    for df, system in ((curated.rentals, "lakehouse"), (curated.reviews, "review")):
+        assert {r[0] for r in df.select("_metadata.SourceSystem").collect()} == {system}
 
 
 def test_surrogates_lead_back_to_the_business_keys(lake):

@@ -29,6 +29,9 @@ from tidemark.workspace import shared_folder
 DELETES = "event_type = 'error'"
 TRUNCATES = "value > 300"
 
+# A micro-batch takes this many files, so that a failure repeats a part and not everything.
+FILES_PER_BATCH = 1000
+
 ORDERS_CONFIG = {
     "orders": {
         "keys": ["o_orderkey"],
@@ -144,11 +147,17 @@ def late_batches_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.table(spark).select(*feed.columns)
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_stream(
+        spark, f"{sf_dir}/events.parquet", "parquet", max_files_per_trigger=FILES_PER_BATCH
+    )
+
+
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event files as a stream, upserted until all are read."""
     root = shared_folder(spark, "upsert")
     target = ChangeTarget(f"{root}/target", _spec(name="events_upsert", once=True))
-    stream = file_stream(spark, f"{sf_dir}/events.parquet", "parquet")
+    stream = _event_stream(spark, sf_dir)
     target.start(stream, f"{root}/checkpoint").awaitTermination()
     return target.table(spark)
 
@@ -158,7 +167,7 @@ def history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "history")
     spec = _spec(scd_type=2, deletes=DELETES, name="events_history", once=True)
     target = ChangeTarget(f"{root}/target", spec)
-    stream = file_stream(spark, f"{sf_dir}/events.parquet", "parquet")
+    stream = _event_stream(spark, sf_dir)
     target.start(stream, f"{root}/checkpoint").awaitTermination()
     return target.table(spark)
 
@@ -179,6 +188,7 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             filetype="json",
             source_system="events",
             schema=as_text,
+            max_files_per_trigger=FILES_PER_BATCH,
         ),
     )
     stream_to_files(raw, f"{root}/raw", f"{root}/checkpoint", "parquet").awaitTermination()
@@ -198,7 +208,11 @@ def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = load(
         spark,
         LoadSpec(
-            "volume", path=f"{sf_dir}/orders.parquet", filetype="parquet", source_system="orders"
+            "volume",
+            path=f"{sf_dir}/orders.parquet",
+            filetype="parquet",
+            source_system="orders",
+            max_files_per_trigger=FILES_PER_BATCH,
         ),
     )
     stream_to_files(raw, f"{root}/raw", f"{root}/checkpoint", "parquet").awaitTermination()
@@ -231,7 +245,11 @@ def layered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = load(
         spark,
         LoadSpec(
-            "volume", path=f"{sf_dir}/orders.parquet", filetype="parquet", source_system="orders"
+            "volume",
+            path=f"{sf_dir}/orders.parquet",
+            filetype="parquet",
+            source_system="orders",
+            max_files_per_trigger=FILES_PER_BATCH,
         ),
     )
     flows = start_flows(

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.audit import AUDIT_COLUMN, INGEST_SEQUENCE
+from tidemark.functions.audit import INGEST_SEQUENCE
 from tidemark.functions.calendar import CALENDAR_START, calendar
 from tidemark.operators import bookings as booking_ops
 from tidemark.operators.metrics import Join, Measure, MetricView
@@ -123,10 +123,6 @@ def load_base(
     return {name: target for name, (target, _) in flows.items()}
 
 
-def base_columns(df: DataFrame) -> DataFrame:
-    return df.drop(AUDIT_COLUMN)
-
-
 def dim_calendar(days: DataFrame) -> DataFrame:
     return dimension(days, "calendar", "date", keep_business_key=True)
 
@@ -214,7 +210,10 @@ def curate(spark: SparkSession, root: str, base: dict[str, DataFrame]) -> Curate
 
 
 def run(spark: SparkSession, landing: str, root: str) -> Curated:
-    """All layers over the two source systems ``lakehouse`` and ``review`` below ``landing``."""
+    """All layers over the two source systems ``lakehouse`` and ``review`` below ``landing``.
+
+    The audit struct stays on every row, up to the curated tables.
+    """
     base: dict[str, DataFrame] = {}
     for system, config in (("lakehouse", LAKEHOUSE_CONFIG), ("review", REVIEW_CONFIG)):
         names = ingest_raw(
@@ -228,7 +227,7 @@ def run(spark: SparkSession, landing: str, root: str) -> Curated:
             config,
             names,
         )
-        base.update({n: base_columns(t.table(spark)) for n, t in targets.items()})
+        base.update({n: t.table(spark) for n, t in targets.items()})
     return curate(spark, root, base)
 
 
@@ -238,5 +237,5 @@ def ingest_bookings(spark: SparkSession, landing: str, root: str) -> DataFrame:
     targets = load_base(
         spark, f"{root}/raw", f"{root}/base", f"{root}/state", BOOKINGS_CONFIG, names
     )
-    rows = base_columns(targets["bookings"].table(spark))
-    return booking_ops.typed(rows.select(*booking_ops.BOOKING_COLUMNS))
+    rows = targets["bookings"].table(spark).select(*booking_ops.BOOKING_COLUMNS)
+    return booking_ops.typed(rows)

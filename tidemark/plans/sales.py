@@ -15,6 +15,7 @@ from tidemark.operators import bookings as booking_ops
 from tidemark.operators.metrics import Dimension, Join, Measure, MetricView
 from tidemark.operators.quality import Rule, expect, row_filter, violations
 from tidemark.operators.star import dimension, fact, hot_values, lookup_keys
+from tidemark.operators.surrogate import ROWS_PER_BUCKET
 from tidemark.sinks.tables import (
     TableLayout,
     append_rows,
@@ -75,9 +76,10 @@ def dim_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_part_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same ids when the dimension is too long for one window: numbered in about 16 ranges."""
+    """The same ids when the dimension is too long for one window: numbered in 16 ranges or more."""
     parts = table(spark, sf_dir, "part")
-    return dimension(parts, "part", "p_partkey", rows_per_bucket=max(1, parts.count() // 16))
+    bucket = max(1, min(ROWS_PER_BUCKET, parts.count() // 16))
+    return dimension(parts, "part", "p_partkey", rows_per_bucket=bucket)
 
 
 def dim_part_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
