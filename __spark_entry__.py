@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import feeds, generated, sales
 
+try:
+    import corpus_pipeline
+    from tidemark.llm import queries as corpus
+except ModuleNotFoundError:  # the subpackage can be taken out
+    corpus = corpus_pipeline = None
+
 SMALLEST = "/root/testdata/sf0.001"
 
 
@@ -17,6 +23,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if corpus is None:
+        return table_queries()
+    return {**table_queries(), **corpus.queries(), "pipeline": corpus_pipeline.run}
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "calendar_spine": sales.order_calendar,
         "dim_calendar": sales.dim_calendar_spanning,
@@ -204,6 +216,10 @@ _LINE_RULES = {
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**table_sql(), **(corpus.oracle_sql() if corpus else {})}
+
+
+def table_sql() -> dict[str, str]:
     return {
         "calendar_spine": f"""
             WITH span AS (
