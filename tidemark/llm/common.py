@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +35,17 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_runs(texts: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``most_bytes`` of text, so that tasks hold little at once; no text is cut."""
+    if not len(texts):
+        return
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).tolist()
+    first, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > most_bytes:
+            yield first, i
+            first, total = i, 0
+        total += n
+    yield first, len(sizes)

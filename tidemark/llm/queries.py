@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, mixing, pieces
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pieces": pieces.op1_pieces,
+        "op5_source_mix": mixing.op5_source_mix,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     }
 
