@@ -4,22 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, language_id, mixing, near_dedup, pieces
 from tidemark.llm.common import stored, table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; models are fitted on the stage's own input."""
+    return language_id.recognised(docs)
+
+
 def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document for each distinct text."""
+    """One document for each distinct text: that of the largest id."""
     return exact_dedup.deduplicate(docs)
 
 
-STAGES = [("exact dedup", unique_texts)]
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest id."""
+    return near_dedup.deduplicate_near(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: up to three times, or not at all."""
+    return mixing.mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's tokens, their spans and the text they decode to, as digests."""
+    return pieces.digests(docs, pieces.public_model())
+
+
+STAGES = [
+    ("language identification", known_language),
+    ("exact dedup", unique_texts),
+    ("near dedup", no_near_copies),
+    ("source mixing", mixed_sources),
+    ("pieces", tokens),
+]
 
 #: SQL can express neither language models nor tokenising; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages over the documents: one row for each document and time that it was taken."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")

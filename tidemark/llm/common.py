@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,3 +50,9 @@ def text_runs(texts: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int,
             first, total = i, 0
         total += n
     yield first, len(sizes)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

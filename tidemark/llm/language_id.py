@@ -259,8 +259,11 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     model was calibrated on. ``entropies``: by language; ``letters``: letters and word ends.
     """
     keep = keep or []
-    rows = docs.select(F.col(text_col).cast("string").alias("__text"), F.col(id_col), *keep)
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [id_col, *keep])
+    names = [id_col, *keep]
+    rest = [c for c in names if c != text_col]
+    rows = docs.select(F.col(text_col).cast("string").alias("__text"), *rest)
+    at = [rest.index(c) + 1 if c != text_col else 0 for c in names]  # the text is handed over once
+    fields = ", ".join(f"`{c}` {rows.schema[i].dataType.simpleString()}" for c, i in zip(names, at, strict=True))
     schema = f"{fields}, lang_pred string, score double, rejected boolean, entropies array<double>, letters long"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -272,26 +275,34 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 texts = [t or "" for t in part.column(0).to_pylist()]
                 if model is None:
                     h, n, best = np.zeros((len(texts), 1)), np.zeros(len(texts), "i8"), np.zeros(len(texts), "i8")
-                    names, limit, sharpness = [UNKNOWN], np.zeros(1), 1.0
+                    known_names, limit, sharpness = [UNKNOWN], np.zeros(1), 1.0
                 else:
                     h, n = entropies(model, texts)
-                    names, limit, sharpness, best = model.languages, model.limit, model.sharpness, h.argmin(1)
-                at, known = np.arange(len(texts)), n > 0
+                    known_names, limit, sharpness, best = model.languages, model.limit, model.sharpness, h.argmin(1)
+                row, known = np.arange(len(texts)), n > 0
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[1:],
-                        pa.array([names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], pa.string()),
-                        pa.array(np.where(known, _probabilities(h, sharpness)[at, best], 0.0)),
-                        pa.array(~known | above(h[at, best], n, limit[best])),
+                        *[part.column(i) for i in at],
+                        pa.array([known_names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], pa.string()),
+                        pa.array(np.where(known, _probabilities(h, sharpness)[row, best], 0.0)),
+                        pa.array(~known | above(h[row, best], n, limit[best])),
                         pa.array(list(h), pa.list_(pa.float64())),
                         pa.array(n),
                     ],
-                    names=[id_col, *keep, "lang_pred", "score", "rejected", "entropies", "letters"],
+                    names=[*names, "lang_pred", "score", "rejected", "entropies", "letters"],
                 )
 
     return rows.mapInArrow(run, schema)
 
 
+def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """The input's rows and columns without those whose language is rejected (null texts and texts without letters go too)."""
+    model = fit(docs, id_col, text_col, lang_col, **options)
+    names = {c: f"__{i}" for i, c in enumerate(docs.columns)}
+    found = predict(docs.toDF(*names.values()), model, names[id_col], names[text_col], [n for c, n in names.items() if c != id_col])
+    return found.filter("not rejected").select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's predicted language."""
     docs = table(spark, sf_dir, "documents")

@@ -165,19 +165,8 @@ def _in_blocks(posted: DataFrame, classes: DataFrame, found: DataFrame, percent:
     return dealt.groupBy(*key, "i", "j").applyInPandas(meet, "a long, b long").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WIDTH
-) -> DataFrame:
-    """One row per row: its id, ``n_shingles``, ``component_id`` and ``kept``.
-
-    Words are runs of characters other than ASCII white space, with A-Z in lower case; a set holds
-    the distinct shingles of ``width`` words, or all words as one if there are fewer.
-    Documents are linked when 100 * intersection >= percent * union; 85 is the least
-    ``percent`` that the numbers of coordinates are made for. ``component_id`` is the
-    smallest id that links lead to. A text without words, or null, has an empty set and
-    is linked with nothing. Rows that repeat an id count as one document if their texts
-    agree. A null id is greater than no other: a component's smallest id ignores it.
-    """
+def _classes_and_components(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``signatures``, and for each class its ``print`` and the ``keeper`` (first row) of its component."""
     if percent < 85:
         raise ValueError("signatures are made for 85 percent and more")
     rows = stored(signatures(docs, id_col, text_col, width), "signatures")
@@ -217,17 +206,46 @@ def near_duplicates(
         found = components(links)
 
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("first.id").alias("component_id"))
-    of_class = stored(named.join(smallest, "component").select("print", "component_id"), "class-components")
+    smallest = named.groupBy("component").agg(F.min("first").alias("keeper"))
+    return rows, stored(named.join(smallest, "component").select("print", "keeper"), "class-components")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WIDTH
+) -> DataFrame:
+    """One row per row: its id, ``n_shingles``, ``component_id`` and ``kept``.
+
+    Words are runs of characters other than ASCII white space, with A-Z in lower case; a set holds
+    the distinct shingles of ``width`` words, or all words as one if there are fewer.
+    Documents are linked when 100 * intersection >= percent * union; 85 is the least
+    ``percent`` that the numbers of coordinates are made for. ``component_id`` is the
+    smallest id that links lead to. A text without words, or null, has an empty set and
+    is linked with nothing. Rows that repeat an id count as one document if their texts
+    agree. A null id is greater than no other: a component's smallest id ignores it.
+    """
+    rows, of_class = _classes_and_components(docs, id_col, text_col, percent, width)
     empty = rows.filter("print is null").select("id", "n_shingles", F.col("id").alias("component_id"))
     return (
         rows.join(of_class, "print")
-        .select("id", "n_shingles", "component_id")
+        .select("id", "n_shingles", F.col("keeper.id").alias("component_id"))
         .union(empty)
         .select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))
     )
 
 
+def deduplicate_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = WIDTH) -> DataFrame:
+    """The input's rows and columns, one row of each component: that of the smallest id.
+
+    Rows that repeat an id are told apart by their texts. Texts without words all stay.
+    """
+    rows, of_class = _classes_and_components(docs, id_col, text_col, percent, width)
+    keepers = of_class.select("keeper").distinct().select(F.col("keeper.id").alias("__id"), F.col("keeper.text_hash").alias("__hash"))
+    empty = rows.filter("print is null").select("id", "text_hash").distinct()
+    keepers = keepers.union(empty)
+    text = F.xxhash64(F.col(text_col).cast("string"))
+    return docs.join(keepers, F.col(id_col).eqNullSafe(F.col("__id")) & (text == F.col("__hash")), "left_semi")
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The text of the first document of each class in ``nodes``; ids that repeat are told apart by a hash of their texts."""
     wanted = nodes.join(classes, "node").select("node", F.col("first.id").alias("i"), F.col("first.text_hash").alias("h"))
