@@ -293,7 +293,7 @@ def mixed_documents(
     taken = (
         taken_words(mix(docs, id_col, text_col, source_col, seed=seed, **options))
         .groupBy("id", "print")
-        .agg((F.sum("taken") / F.sum("size")).alias("share"))
+        .agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("share"))
         .filter("share > 0")
         .select(F.col("id").alias("__id"), F.col("print").alias("__print"), F.col("share").alias("__share"))
     )
