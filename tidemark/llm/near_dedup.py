@@ -8,9 +8,9 @@ these are joined (prefix), and what no other class has is skipped.
 
 Postings of up to ``SMALL`` classes give all their pairs. Longer ones first give one pair
 for each member, with their smallest class; what these pairs link is one component.
-Members of a long posting in different components are then compared block by block,
-so that no link between components is lost and no posting gives all its pairs.
-Every pair is confirmed on the full shingle sets of both texts.
+Members of long postings in different components are then compared block by block, on
+their full sets, so that no link between components is lost and no posting gives all its pairs.
+Every other pair is confirmed on the full shingle sets of both texts, too.
 """
 
 from __future__ import annotations
@@ -125,44 +125,81 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(pairs.columns)
 
 
-def _in_blocks(posted: DataFrame, classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Of long postings whose members are in several components: the matching pairs between these.
+def _crowds(posted: DataFrame, found: DataFrame) -> DataFrame | None:
+    """``node``, ``component`` and ``crowd`` of the members of long postings that hold several components; None if there are none.
 
-    The members are dealt into blocks of about ``BLOCK``, and two blocks at a time meet in one group.
+    Postings with common members form a crowd, so that two members meet once and not in each posting they share.
     """
-    members = (
-        posted.filter(F.col("total") > SMALL)
-        .join(found, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
+    members = posted.filter(F.col("total") > SMALL).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     key = ["place", "value"]
-    split = members.groupBy(key).agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    split = stored(split.filter("lo <> hi").select(*key, "members"), "split-postings")
+    split = members.groupBy(key).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("least"))
+    split = stored(split.filter("lo <> hi").select(*key, "least"), "split-postings")
     if split.isEmpty():
-        return posted.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        return None
+    members = stored(members.join(split, key).select("node", "component", "least"), "split-members")
+    crowds = components(members.select(F.col("least").alias("a"), F.col("node").alias("b")))
+    return members.select("node", "component").distinct().join(crowds.select("node", F.col("component").alias("crowd")), "node")
+
+
+def _linked_in_blocks(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of a crowd, on full sets: for each member one to each component that it has links to.
+
+    The members are dealt into blocks of about ``BLOCK``; two blocks at a time meet in one group.
+    """
+    blocks = crowds.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = (
-        members.join(split, key)
-        .withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+        crowds.join(blocks, "crowd")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component")
-        .join(classes.select("node", "minima", "size"), "node")
+        .select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component")
+        .join(sets, "node")
     )
 
     def meet(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["own", "node"], ignore_index=True)
         i, j = part["i"].iloc[0], part["j"].iloc[0]
-        part = part.sort_values("node", ignore_index=True)
-        x, y = part[part["own"] == i], part[part["own"] == j]
-        right = np.stack(y["minima"].to_list()) if len(y) else np.zeros((0, COORDINATES), "i4")
-        out = []
-        for node, component, minima, size in zip(x["node"], x["component"], x["minima"], x["size"], strict=True):
-            hit = (right == minima).sum(1) >= MATCHES
-            hit &= (y["component"] != component).to_numpy()
-            hit &= (100 * np.minimum(size, y["size"]) >= percent * np.maximum(size, y["size"])).to_numpy()
-            out += [(min(node, o), max(node, o)) for o in y["node"].to_numpy()[hit]]
+        x, y = (np.flatnonzero(part["own"] == k) for k in (i, j))
+        hashes = [np.frombuffer(b, "u8") for b in part["hashes"]]
+        size = np.array([len(h) for h in hashes])
+        _, column, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(part)), size)
+        # what only one text has adds nothing to an intersection
+        number = np.cumsum(times > 1) - 1
+        shared = times[column] > 1
+        owner, column = owner[shared], number[column[shared]]
+        both = np.zeros((len(x), len(y)), "f4")
+        by = np.argsort(column, kind="stable")
+        owner, column = owner[by], column[by]
+        for lo in range(0, int(number[-1]) + 1, 4096):
+            a, b = np.searchsorted(column, [lo, lo + 4096])
+            has = np.zeros((len(part), 4096), "f4")
+            has[owner[a:b], column[a:b] - lo] = 1
+            both += has[x] @ has[y].T
+        kind = part["component"].to_numpy()
+        hit = 100 * both >= percent * (size[x][:, None] + size[y][None, :] - both)
+        hit &= kind[x][:, None] != kind[y][None, :]
+        nodes, out = part["node"].to_numpy(), []
+        for row in np.flatnonzero(hit.any(1)):
+            to = y[hit[row]]
+            _, first = np.unique(kind[to], return_index=True)
+            out += [(nodes[x[row]], nodes[t]) for t in to[first]]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return dealt.groupBy(*key, "i", "j").applyInPandas(meet, "a long, b long").distinct()
+    return dealt.groupBy("crowd", "i", "j").applyInPandas(meet, "a long, b long")
+
+
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """``node`` and its sorted shingle hashes, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in text_runs(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                hashes, starts = shingles(*run_words(part.column(1)), width)
+                packed = [np.unique(hashes[starts[i] : starts[i + 1]]).tobytes() for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], names=["node", "hashes"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
 
 
 def _classes_and_components(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
@@ -197,13 +234,15 @@ def _classes_and_components(docs: DataFrame, id_col: str, text_col: str, percent
     if not rest.isEmpty():
         links = stored(links.union(_confirmed(rest, texts, percent, width)), "links")
         found = components(links)
-    crossing = stored(_in_blocks(posted, classes, found, percent), "crossing")
-    crossing = crossing.join(candidates, ["a", "b"], "left_anti")
-    if not crossing.isEmpty():
-        nodes = crossing.select(F.col("a").alias("node")).union(crossing.select("b")).distinct()
-        texts = _texts(docs, nodes, classes, id_col, text_col)
-        links = stored(links.union(_confirmed(crossing, texts, percent, width)), "links")
-        found = components(links)
+    crowds = _crowds(posted, found)
+    if crowds is not None:
+        crowds = stored(crowds, "crowds")
+        texts = _texts(docs, crowds.select("node").distinct(), classes, id_col, text_col)
+        sets = stored(_sets(texts, width).dropDuplicates(["node"]), "sets")
+        more = stored(_linked_in_blocks(crowds, sets, percent), "links")
+        if not more.isEmpty():
+            links = stored(links.union(more), "links")
+            found = components(links)
 
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first").alias("keeper"))
