@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import feeds, generated, sales
+from tidemark.plans import feeds, sales
 
 try:
     import corpus_pipeline
@@ -64,6 +64,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_tracked_split": feeds.scd2_tracked_split,
         "scd2_except_track": feeds.scd2_except_track,
         "scd2_ignore_nulls": feeds.scd2_ignore_nulls,
+        "scd2_ignore_nulls_ties": feeds.scd2_ignore_nulls_ties,
+        "schema_drift": feeds.schema_drift,
         "upsert_stream": feeds.upsert_stream,
         "history_stream": feeds.history_stream,
         "ingest_json": feeds.ingest_json,
@@ -74,6 +76,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_drop": sales.expect_drop,
         "expect_all_drop": sales.expect_all_drop,
         "expect_all_fail": sales.expect_or_fail,
+        "expect_fail_keeps_table": sales.expect_fail_keeps_table,
         "row_filter_view": sales.row_filter_view,
         "private_table": sales.private_table,
         "stored_layout": sales.stored_layout,
@@ -84,8 +87,6 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "submit_valid": sales.submit_bookings,
         "discover": sales.discover_datasets,
         "rental_amounts": sales.rental_amounts,
-        "generated_star": generated.generated_star,
-        "generated_parties": generated.generated_parties,
     }
 
 
@@ -215,6 +216,9 @@ _LINE_RULES = {
 }
 
 
+_LANDED = {"nation": "json", "customer": "parquet", "supplier": "csv", "part": "orc"}
+
+
 def oracle_sql() -> dict[str, str]:
     return {**table_sql(), **(corpus.oracle_sql() if corpus else {})}
 
@@ -389,6 +393,32 @@ def table_sql() -> dict[str, str]:
                 FROM filled)
             WHERE event_type <> 'error'
         """,
+        "scd2_ignore_nulls_ties": """
+            WITH numbered AS (
+                SELECT *, CAST(ts AS DATE) AS d,
+                       row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                                          ORDER BY event_id) AS nth
+                FROM events
+            ),
+            days AS (
+                SELECT user_id, d, max(event_type) FILTER (nth = 1) AS event_type,
+                       max(value) FILTER (nth = 2) AS value, max(props) FILTER (nth = 3) AS props
+                FROM numbered GROUP BY user_id, d
+            )
+            SELECT user_id, d AS ts, last_value(event_type IGNORE NULLS) OVER w AS event_type,
+                   last_value(value IGNORE NULLS) OVER w AS value,
+                   last_value(props IGNORE NULLS) OVER w AS props, d AS valid_from,
+                   lead(d) OVER (PARTITION BY user_id ORDER BY d) AS valid_to
+            FROM days WINDOW w AS (PARTITION BY user_id ORDER BY d
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        """,
+        "schema_drift": """
+            SELECT o_orderkey, o_custkey, o_totalprice,
+                   CASE WHEN late THEN o_orderstatus END AS o_orderstatus,
+                   CASE WHEN late THEN o_orderdate END AS o_orderdate,
+                   CASE WHEN late THEN o_orderpriority END AS o_orderpriority
+            FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AS late FROM orders)
+        """,
         "upsert_stream": _LATEST,
         "history_stream": f"SELECT * FROM ({_HISTORY}) WHERE event_type <> 'error'",
         "ingest_json": """
@@ -413,6 +443,7 @@ def table_sql() -> dict[str, str]:
         "expect_drop": "SELECT * FROM lineitem WHERE l_discount <= 0.08",
         "expect_all_drop": f"SELECT * FROM lineitem WHERE {' AND '.join(_LINE_RULES.values())}",
         "expect_all_fail": "SELECT * FROM lineitem",
+        "expect_fail_keeps_table": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
         "row_filter_view": """
             SELECT * FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 100000
         """,
@@ -455,17 +486,14 @@ def table_sql() -> dict[str, str]:
                    strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 9 - 2 AS INTEGER),
                             '%Y-%m-%d') AS to_date,
                    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS booking_time,
-                   CAST(o_orderkey AS VARCHAR) AS notes
+                   CAST(o_orderkey AS VARCHAR) AS notes, TRUE AS guid_holds
             FROM orders
             WHERE o_orderstatus <> 'P' AND o_orderpriority <> '2-HIGH' AND o_orderkey % 9 >= 2
         """,
-        "discover": """
-            SELECT DISTINCT table_name AS dataset, 'parquet' AS format
-            FROM information_schema.tables
-            WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders',
-                                 'lineitem', 'events', 'documents', 'embeddings', 'pages',
-                                 'benchmark', 'labels', 'conversations')
-        """,
+        "discover": " UNION ALL ".join(
+            f"SELECT '{name}' AS dataset, '{kind}' AS format, count(*) AS rows FROM {name}"
+            for name, kind in _LANDED.items()
+        ),
         "rental_amounts": """
             WITH priced AS (
                 SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS total,
@@ -483,19 +511,4 @@ def table_sql() -> dict[str, str]:
                                ELSE CAST(l_orderkey AS VARCHAR) END AS transaction_id
             FROM priced
         """,
-        "generated_star": """
-            SELECT count(*) AS rentals, count(*) AS reviews,
-                   CAST(0 AS BIGINT) AS open_customer_id, CAST(0 AS BIGINT) AS open_seller_id,
-                   CAST(0 AS BIGINT) AS open_lakehouse_id, CAST(0 AS BIGINT) AS wrong_stays,
-                   CAST(0 AS BIGINT) AS late_orders, CAST(0 AS BIGINT) AS wrong_totals,
-                   CAST(0 AS BIGINT) AS wrong_taxes, CAST(0 AS BIGINT) AS wrong_ids,
-                   CAST(0 AS BIGINT) AS wrong_reviews
-            FROM orders
-        """,
-        "generated_parties": """
-            SELECT 'houses' AS "check", count(*) AS rows FROM part
-            UNION ALL SELECT 'sellers', count(*) FROM supplier
-            UNION ALL SELECT unnest(['wrong_amenity_counts', 'repeated_amenities', 'wrong_guests',
-                                     'wrong_assignments', 'unknown_houses']), CAST(0 AS BIGINT)
-        """,
     }

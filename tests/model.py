@@ -30,7 +30,12 @@ def scd2(rows, ignore_nulls=False, tracked=None):
     """Returns a set of (key, a, b, valid_from, valid_to)."""
     by_key: dict = {}
     for row in sorted((r for r in rows if r["seq"] is not None), key=position):
-        by_key.setdefault(row["k"], {})[row["seq"]] = row
+        tied = by_key.setdefault(row["k"], {})
+        before = tied.get(row["seq"])
+        if ignore_nulls and before and before["op"] == row["op"] == "u":
+            merged = {c: before[c] if row[c] is None else row[c] for c in ("a", "b")}
+            row = {**row, **merged}
+        tied[row["seq"]] = row
     result = set()
     for key, changes in by_key.items():
         open_version, filled = None, (None, None)

@@ -15,6 +15,7 @@ from tidemark.sinks.tables import (
     create_table_if_absent,
     create_view,
     enforce_schema,
+    hidden_name,
     materialize,
     spark_settings,
     stream_to_files,
@@ -23,7 +24,14 @@ from tidemark.sinks.tables import (
     write_files,
 )
 from tidemark.operators.quality import Rule
-from tidemark.sources.files import CORRUPT_RECORD, discover, file_stream, infer_schema, read_files
+from tidemark.sources.files import (
+    CORRUPT_RECORD,
+    discover,
+    evolved,
+    file_stream,
+    infer_schema,
+    read_files,
+)
 from tidemark.sources.load import LoadSpec, load
 from tidemark.sources.tables import list_tables, qualified_name, read_table, table_stream
 from tidemark.workspace import shared_folder
@@ -42,7 +50,7 @@ def test_discover_folders_files_and_compression(spark, tmp_path):
     (root / "single.json").write_text('{"a": 1}')
     (root / "notes.txt").write_text("not a dataset")
     found = {(r.dataset, r.format) for r in discover(spark, str(root)).collect()}
-    assert found == {("landing", "parquet"), ("bookings", "json"), ("with", "csv"), ("single", "json")}
+    assert found == {("landing", "parquet"), ("bookings", "json"), ("with", "csv"), ("single", "json"), ("notes", "txt")}
 
 
 def test_discover_raises_for_a_missing_root(spark, tmp_path):
@@ -154,11 +162,59 @@ def test_materialize_applies_schema_rules_filter_and_comment(spark, frame, tmp_p
     assert {tuple(r) for r in spark.table("made").select("id", "name").collect()} == {(1, "a"), (2, "b")}
     assert counters.get == {"rows": 3, "named": 1}
     assert spark.table("made").schema["id"].dataType == T.IntegerType()
-    described = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED made").collect()}
+    assert spark.table(hidden_name("made")).count() == 2  # all that the rules left
+    described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {hidden_name('made')}").collect()}
     assert described["Comment"] == "it's made"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+@pytest.mark.parametrize("external", [False, True])
+def test_a_failed_overwrite_keeps_the_table(spark, frame, tmp_path, external):
+    name = f"stays_{external}"
+    layout = TableLayout(path=str(tmp_path / "stays")) if external else TableLayout()
+    materialize(frame, name, layout=layout)
+    rules = [Rule("small", "id < 2", "expect_or_fail")]
+    bad_cast = frame.withColumn("id", F.col("name").cast("int"))
+    for rows, checked in ((frame, rules), (bad_cast, None)):
+        with pytest.raises(Exception):  # noqa: B017 - a rule or a cast
+            materialize(rows, name, layout=layout, rules=checked)
+        assert spark.table(name).count() == 3
+    materialize(frame.filter("id = 1"), name, layout=layout)
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(f"{name}__")]
+
+
+def test_a_failed_overwrite_keeps_the_files(spark, frame, tmp_path):
+    path = str(tmp_path / "parent" / "files")
+    write_files(frame, path, "parquet")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        write_files(frame.withColumn("id", F.col("name").cast("int")), path, "parquet")
+    assert spark.read.parquet(path).count() == 3
+    # what a task wrote after the failure is hidden from readers
+    assert [p.name for p in (tmp_path / "parent").iterdir() if p.name[0] not in "_."] == ["files"]
+
+
+def test_new_columns_are_added_at_the_next_start(spark, tmp_path):
+    landing, seen = str(tmp_path / "landing"), str(tmp_path / "schema")
+    spark.range(3).write.parquet(landing)
+    assert file_stream(spark, landing, "parquet", schema_location=seen).columns == ["id"]
+    spark.range(3).selectExpr("id", "'x' as more").write.mode("append").parquet(landing)
+    assert file_stream(spark, landing, "parquet", schema_location=seen).columns == ["id", "more"]
+    spark.read.parquet(landing).limit(0)
+    with pytest.raises(ValueError, match="more"):
+        evolved(T.StructType([T.StructField("more", T.LongType())]), T.StructType([T.StructField("more", T.StringType())]))
+
+
+def test_files_of_unknown_kinds_are_listed(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "good"))
+    for name in ("odd/x.jsonl", "plain/x"):
+        (tmp_path / name).parent.mkdir()
+        (tmp_path / name).write_text("{}")
+    found = {(r.dataset, r.format) for r in discover(spark, str(tmp_path)).collect()}
+    assert found == {("good", "parquet"), ("odd", "jsonl"), ("plain", "unknown")}
+
+
 def test_private_tables_are_not_stored(spark, frame):
     materialize(frame, "a.b.hidden", private=True)
     assert spark.table("a_b_hidden").count() == 3

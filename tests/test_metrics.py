@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from tidemark.plans import sales
+
 import pytest
 
 from tidemark.operators.metrics import Dimension, Join, Measure, MetricView
@@ -151,3 +153,9 @@ def test_mistakes_are_reported(view, tables):
     ):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_filter_lists_need_one_scan(spark):
+    df = sales.filter_value_counts(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan and plan.count("Relation [") == 2

@@ -80,6 +80,13 @@ def test_repeated_keys_fail_unless_allowed(spark, size):
     assert {r.k for r in duplicate_keys(df, "k").collect()} == {1}
 
 
+def test_repeated_hash_keys_are_refused(spark):
+    twice = spark.range(3).union(spark.range(1)).withColumnRenamed("id", "k")
+    with pytest.raises(Exception, match="repeated hash id"):
+        surrogate_key(twice, "k", "sid", method="hash").collect()
+    assert surrogate_key(twice, "k", "sid", method="hash", unique=False).count() == 4
+
+
 def test_hash_keys_and_bad_methods(spark):
     df = spark.range(100)
     assert surrogate_key(df, "id", "sid", method="hash").select("sid").distinct().count() == 100
@@ -151,9 +158,11 @@ def test_null_keys_are_spread_over_the_shuffle(spark, small_star):
         facts = spark.range(100).select(
             F.col("id").alias("rental_id"), F.when(F.col("id") > 50, F.col("id")).alias("customer_key")
         )
-        plan = lookup_keys(facts, {"customer": dims["customer"]})._jdf.queryExecution().toString()
-        physical = plan[plan.index("== Physical Plan ==") :]
-        assert "_salt" in physical[physical.index("hashpartitioning") :].split("\n")[0]
+        for spread in (False, True):
+            found = lookup_keys(facts, {"customer": dims["customer"]}, spread_nulls=spread)
+            plan = found._jdf.queryExecution().toString()
+            physical = plan[plan.index("== Physical Plan ==") :]
+            assert ("_salt" in physical[physical.index("hashpartitioning") :].split("\n")[0]) == spread
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

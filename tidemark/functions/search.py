@@ -25,7 +25,8 @@ def count_not_above(bounds: Column, value: Column) -> Column:
 
     A binary search in SEARCH_STEPS steps, so the cost per row does not grow
     with the number of bounds. ``bounds`` must be a plain column: Spark accepts
-    no subquery inside a higher-order function.
+    no subquery inside a higher-order function. More bounds than the steps can tell
+    apart are an error.
     """
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(SEARCH_STEPS))])
 
@@ -35,7 +36,10 @@ def count_not_above(bounds: Column, value: Column) -> Column:
             (probe <= F.size(bounds)) & (F.try_element_at(bounds, probe) <= value), probe
         ).otherwise(low)
 
-    return F.aggregate(steps, F.lit(0), advance)
+    too_many = F.raise_error(F.lit(f"more than {2**SEARCH_STEPS - 1} split points; use larger runs")).cast("int")
+    return F.when(F.size(bounds) >= 1 << SEARCH_STEPS, too_many).otherwise(
+        F.aggregate(steps, F.lit(0), advance)
+    )
 
 
 def hash_bucket(parts: list[Column], buckets: Column | int, salt: str) -> Column:

@@ -17,7 +17,7 @@ equal.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +109,9 @@ def apply_changes(
     if log is not None:
         rows = log.unionByName(rows)
     columns = output_order(changes, spec)
+    if spec.truncates:  # what a truncate clears need not be reduced
+        rows = after_truncate(rows, spec).filter(F.col(OP) != TRUNCATE)
+        spec = replace(spec, truncates=None)
     if spec.scd_type == 2:  # the window over a key sorts its rows anyway and reduces them there
         return finish(rows, spec, columns)
     return finish(reduce_log(rows, spec), spec, columns)
@@ -162,15 +165,29 @@ def _lift(rows: DataFrame, keys: list[Column], payload: list[str]) -> DataFrame:
     return placed.select(*keys, SEQ, OP, *[entry(c) for c in payload])
 
 
+def after_truncate(log: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """The log without the rows that its last truncate clears; truncates stay."""
+    if not spec.truncates:
+        return log
+    cut = log.filter(F.col(OP) == TRUNCATE).agg(F.max(SEQ)).scalar()
+    alive = F.col("_cut").isNull() | (F.col(OP) == TRUNCATE) | (F.col(SEQ) > F.col("_cut"))
+    return log.withColumn("_cut", cut).filter(alive).drop("_cut")
+
+
 def reduce_log(log: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Keep only what any later change can still need; the result is again a log.
 
     Type 1 keeps one row per key (a delete stays as a tombstone) and the last
-    truncate; type 2 keeps one row per key and sequence. The reduction starts
+    truncate; type 2 keeps one row per key and sequence, with ignored nulls one of
+    each content, as tied updates merge column by column. The reduction starts
     before the shuffle, so a key with a huge number of changes sends one row per
     task.
     """
     payload = [c for c in log.columns if c not in (*spec.keys, SEQ, OP)]
+    if spec.scd_type == 2 and spec.ignore_null_updates:
+        tie = F.xxhash64(*[orderable(log, c) for c in payload]) if payload else F.lit(0).cast("long")
+        by = [*spec.keys, SEQ, OP, TIE]
+        return greatest_row(log.withColumn(TIE, tie), by, [], payload).select(*log.columns)
     if spec.scd_type == 2:
         return greatest_row(log, [*spec.keys, SEQ], [OP], payload)
     if not spec.ignore_null_updates:

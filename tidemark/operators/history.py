@@ -4,9 +4,8 @@ The work is a window per key. One key may own a large part of all rows, so runs
 longer than ``max_run_rows`` are cut into chunks at markers taken from the
 sequence values themselves; chunks are windowed on their own and joined up by
 what each passes to its neighbours: the columns filled so far, the open version
-and the next row. Those *edges* are one row per chunk. There are at most about
-100 000 chunks of cut keys by construction (see ``cut_long_runs``), which is why
-their two small tables may be broadcast.
+and the next row. Those *edges* are one row per chunk. Cuts and edges are joined as
+Spark sees fit; nothing is broadcast by hand, as both grow with the data.
 """
 
 from __future__ import annotations
@@ -16,14 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.search import count_not_above, is_marker
-from tidemark.operators.latest import greatest_row
+from tidemark.operators.latest import greatest_row, orderable
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 MAX_RUN_ROWS = 1_000_000
-# A key is cut only if it owns more than 1/MAX_CUT_KEYS of all rows, so fewer keys
-# than this can be cut, whatever the data.
-MAX_CUT_KEYS = 50_000
 
 _SEQ, _OP, _CHUNK, _DELETE = "_seq", "_op", "_chunk", 1
 
@@ -36,8 +32,8 @@ def cut_long_runs(log: DataFrame, keys: list[str], max_run_rows: int) -> DataFra
     sequence are all counted here, so a run may be cut a little too often.
     """
     counts = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total, longest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = max(1, max_run_rows, (total or 0) // MAX_CUT_KEYS)
+    longest = counts.agg(F.max("_rows")).first()[0]
+    limit = max(1, max_run_rows)
     if not longest or longest <= limit:
         return None
     long_keys = counts.filter(F.col("_rows") > limit).select(
@@ -47,7 +43,7 @@ def cut_long_runs(log: DataFrame, keys: list[str], max_run_rows: int) -> DataFra
     return (
         log.select(*keys, _SEQ)
         .filter(is_marker(F.col(_SEQ), limit))
-        .join(F.broadcast(long_keys), same, "left_semi")
+        .join(long_keys, same, "left_semi")
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set(_SEQ)).alias("_cuts"))
         .select(*[F.col(k).alias(f"_cut_{k}") for k in keys], "_cuts")
@@ -70,6 +66,7 @@ def versions(
     max_run_rows: int = MAX_RUN_ROWS,
 ) -> DataFrame:
     """Versions of every key from its log; of rows with equal sequence the greatest counts.
+    With ``fill_nulls`` tied updates merge column by column, in the order of a content hash.
 
     ``tracked=None``: every upsert opens a version. Otherwise a version runs as
     long as the tracked columns stay equal and carries the last values of the
@@ -84,7 +81,7 @@ def versions(
         rows, by = log, keys
     else:
         rows = (
-            log.join(F.broadcast(cuts), _same_keys(keys), "left")
+            log.join(cuts, _same_keys(keys), "left")
             .withColumn("_is_cut", F.col("_cuts").isNotNull())
             .withColumn(
                 _CHUNK,
@@ -100,13 +97,27 @@ def versions(
     # sequences starts before the shuffle.
     marks = ["_is_cut"] if chunked else []
     spread = rows if chunked else rows.repartition(*by)
-    rows = greatest_row(spread, [*by, _SEQ], [_OP], [*payload, *marks])
     if fill_nulls:
-        rows = _fill(rows, keys, by, payload, chunked)
+        rows = _fill(_merge_ties(spread, by, payload, marks), keys, by, payload, chunked)
+    else:
+        rows = greatest_row(spread, [*by, _SEQ], [_OP], [*payload, *marks])
     state = _state(rows, tracked)
     return _close(rows.withColumn("_state", state), keys, by, payload, tracked, chunked)
 
 
+def _merge_ties(rows: DataFrame, by: list[str], payload: list[str], marks: list[str]) -> DataFrame:
+    """One row per key and sequence: a delete if there is one, else each column's last value that is set."""
+    tie = F.xxhash64(*[orderable(rows, c) for c in payload]) if payload else F.lit(0).cast("long")
+    placed = rows.withColumn("_tie", tie)
+
+    def last_set(name: str) -> Column:
+        position = F.when((F.col(_OP) != _DELETE) & F.col(name).isNotNull(), F.col("_tie"))
+        return F.max_by(name, position).alias(name)
+
+    columns = [F.max(_OP).alias(_OP), *[last_set(c) for c in payload], *[F.max(m).alias(m) for m in marks]]
+    return placed.groupBy(*by, _SEQ).agg(*columns)
+
+
 def _state(rows: DataFrame, tracked: list[str] | None) -> Column:
     """What must stay equal within a version: the operation and the tracked columns."""
     parts = [F.col(_OP).alias("op")]
@@ -121,14 +132,14 @@ def _has_map(dtype: T.DataType) -> bool:
 
 
 def _join_edges(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the per-chunk edges; one row per chunk of a cut key, see the module's bound."""
+    """Attach the per-chunk edges; one row per chunk of a cut key."""
     renamed = edges.select(
         *[F.col(k).alias(f"_cut_{k}") for k in keys],
         F.col(_CHUNK).alias("_cut_chunk"),
         *[c for c in edges.columns if c not in (*keys, _CHUNK)],
     )
     same = _same_keys(keys) & (F.col(_CHUNK) == F.col("_cut_chunk")) & F.col("_is_cut")
-    return rows.join(F.broadcast(renamed), same, "left").drop(
+    return rows.join(renamed, same, "left").drop(
         "_cut_chunk", *[f"_cut_{k}" for k in keys]
     )
 

@@ -96,6 +96,7 @@ def lookup_keys(
     hot_key_buckets: int = 64,
     spread_by: list[str] | None = None,
     bounded: Collection[str] = BOUNDED_DIMENSIONS,
+    spread_nulls: bool = False,
 ) -> DataFrame:
     """Replace the key columns of ``fact`` by surrogate ids.
 
@@ -105,12 +106,13 @@ def lookup_keys(
     broadcasts it when its size is below ``spark.sql.autoBroadcastJoinThreshold``
     and otherwise shuffles.
 
-    A shuffled lookup also keys on a salt: rows without a key are spread by a hash
-    of the ``spread_by`` columns (default: the fact's own ids and its keys; few, so
-    that a query on the fact still reads few columns), and the values listed in
-    ``hot_keys[column]`` (see ``hot_values``) over ``hot_key_buckets`` tasks by
-    repeating just those few dimension rows. Values not listed are left to adaptive
-    execution, which splits an oversized partition of a left join by itself.
+    A shuffled lookup joins on the key alone; adaptive execution splits an oversized
+    partition of a left join, that of the rows without a key too. Where a column has
+    values listed in ``hot_keys[column]`` (see ``hot_values``), or with ``spread_nulls``,
+    it also keys on a salt: the listed values go over ``hot_key_buckets`` tasks by
+    repeating just those few dimension rows, and rows without a key are spread by a
+    hash of the ``spread_by`` columns (default: the fact's own ids and its keys; few,
+    so that a query on the fact still reads few columns).
     """
     lookups = key_roles(fact.columns, roles)
     missing = sorted({r.dimension for r in lookups.values()} - set(dimensions))
@@ -134,6 +136,9 @@ def lookup_keys(
             result = result.join(F.broadcast(slim), match, "left").drop(f"_dim_{column}")
             continue
         hot = list((hot_keys or {}).get(column, []))
+        if not hot and not spread_nulls:
+            result = result.join(slim, match, "left").drop(f"_dim_{column}")
+            continue
         result = (
             result.withColumn(
                 "_salt", spreading_salt(F.col(column), row_hash, hot, hot_key_buckets)

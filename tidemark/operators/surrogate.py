@@ -1,14 +1,14 @@
 """Surrogate keys that stay the same when a dimension is recomputed.
 
-``ordinal``: the position of a row in key order, counted from zero. Up to
-``rows_per_bucket`` rows are numbered by one window; the row count is taken first,
-when the plan is built. A longer dimension is never sorted in one task: the key
-range is cut at markers taken from the keys themselves (see ``functions.search``),
-rows are numbered within their bucket and shifted by the number of rows in the
-buckets before it. Only the markers and the bucket sizes, one of each per
-``rows_per_bucket`` rows, pass through a scalar subquery.
-
-``hash``: a 64-bit hash of the key; no shuffle.
+``ordinal``: the position of a row in key order, counted from zero. No long dimension
+is sorted in one task: the key range is cut at markers taken from the keys
+themselves (see ``functions.search``), about one in ``rows_per_bucket``, so a short
+dimension has none. Rows are numbered within their bucket and shifted by the number
+of rows in the buckets before it. Only the markers and the bucket sizes pass through
+a scalar subquery; nothing is counted when the plan is built.
+
+``hash``: a 64-bit hash of the key. Two keys may share one (to be expected from some
+10^9 keys), which fails the job under ``unique``.
 """
 
 from __future__ import annotations
@@ -42,12 +42,20 @@ def surrogate_key(
     if name in df.columns:
         raise ValueError(f"column {name!r} exists already")
     if method == "hash":
-        return df.withColumn(name, F.xxhash64(*[F.col(k) for k in key_names]))
+        hashed = df.withColumn(name, F.xxhash64(*[F.col(k) for k in key_names]))
+        return _checked(hashed, name) if unique else hashed
     if method != "ordinal":
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
     return _ordinal(df, key_names, name, rows_per_bucket, unique)
 
 
+def _checked(df: DataFrame, name: str) -> DataFrame:
+    """Fails the job where two rows share the hash id; ids are shuffled once for it."""
+    rows = F.count(F.lit(1)).over(Window.partitionBy(name))
+    complaint = F.raise_error(F.concat(F.lit("repeated hash id "), F.col(name))).cast("long")
+    return df.withColumn(name, F.when(rows > 1, complaint).otherwise(F.col(name)))
+
+
 def duplicate_keys(df: DataFrame, keys: str | list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     key_names = [keys] if isinstance(keys, str) else list(keys)
@@ -65,15 +73,11 @@ def _ordinal(
     df: DataFrame, key_names: list[str], name: str, rows_per_bucket: int, unique: bool
 ) -> DataFrame:
     ordered = df.withColumn("_order", F.struct(*_order_parts(df, key_names, unique)))
-    if df.count() <= rows_per_bucket:
-        placed = ordered.withColumn("_bucket", F.lit(0))
-        start = F.lit(0)
-    else:
-        markers = _markers(ordered, rows_per_bucket)
-        placed = _bucketed(ordered, markers).withColumn("_offsets", _offsets(ordered, markers))
-        # Bucket b > 0 holds at least marker b, so only bucket 0 can be missing from the list.
-        position = F.col("_bucket") + 1 - F.col("_offsets")[0]["_bucket"]
-        start = F.element_at("_offsets", position)["offset"]
+    markers = _markers(ordered, rows_per_bucket)
+    placed = _bucketed(ordered, markers).withColumn("_offsets", _offsets(ordered, markers))
+    # Bucket b > 0 holds at least marker b, so only bucket 0 can be missing from the list.
+    position = F.col("_bucket") + 1 - F.col("_offsets")[0]["_bucket"]
+    start = F.element_at("_offsets", position)["offset"]
 
     by_order = Window.partitionBy("_bucket").orderBy("_order")
     ordinal = start + F.row_number().over(by_order) - 1

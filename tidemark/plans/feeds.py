@@ -6,7 +6,7 @@ user and an exceptionally large value truncates the target.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from tidemark.sinks.tables import (
 from tidemark.sources.files import file_stream
 from tidemark.sources.load import LoadSpec, load
 from tidemark.streaming.upsert import ChangeTarget, specs_from_config, start_flows
-from tidemark.workspace import shared_folder
+from tidemark.workspace import folder_tag, shared_folder
 
 DELETES = "event_type = 'error'"
 TRUNCATES = "value > 300"
@@ -122,6 +122,34 @@ def scd2_ignore_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(sparse_events(spark, sf_dir), spec)
 
 
+def scd2_ignore_nulls_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sequence for a whole day, so that most updates of a user are tied and merge column by column.
+
+    Each column is set by one event of a user and day, the smallest, so that what they merge to does not hang on a hash.
+    """
+    day = F.to_date("ts")
+    first = F.row_number().over(Window.partitionBy("user_id", day).orderBy("event_id"))
+    feed = events(spark, sf_dir).select("user_id", day.alias("ts"), "event_type", "value", "props", first.alias("nth"))
+    columns = ("event_type", "value", "props")
+    sparse = {c: F.when(F.col("nth") == i + 1, F.col(c)) for i, c in enumerate(columns)}
+    spec = _spec(scd_type=2, ignore_null_updates=True)
+    return apply_changes(feed.withColumns(sparse).drop("nth"), spec)
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed in two steps, the second with two more columns, which the second start of the stream adds."""
+    root = shared_folder(spark, "drift")
+    orders = table(spark, sf_dir, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    steps = [orders.filter(early).select("o_orderkey", "o_custkey", "o_totalprice"), orders.filter(~early)]
+    for step in steps:
+        write_files(step, f"{root}/landing", "parquet", "append")
+        stream = file_stream(spark, f"{root}/landing", "parquet", schema_location=f"{root}/schema", max_files_per_trigger=FILES_PER_BATCH)
+        stream_to_files(stream, f"{root}/raw", f"{root}/checkpoint").awaitTermination()
+    raw = spark.read.option("mergeSchema", "true").parquet(f"{root}/raw")
+    return raw.select(*orders.columns)
+
+
 def late_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed in batches that ignore its order, one replayed, a snapshot in between."""
     target = ChangeTarget(shared_folder(spark, "late"), _spec(deletes=DELETES))
@@ -147,17 +175,18 @@ def late_batches_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.table(spark).select(*feed.columns)
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_stream(
-        spark, f"{sf_dir}/events.parquet", "parquet", max_files_per_trigger=FILES_PER_BATCH
-    )
+def _event_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Events landed in several files without order, a file a batch, so that later batches bring older rows."""
+    feed = events(spark, sf_dir)
+    write_files(feed.repartition(4, "event_id"), f"{root}/landing", "parquet")
+    return file_stream(spark, f"{root}/landing", "parquet", max_files_per_trigger=1)
 
 
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event files as a stream, upserted until all are read."""
+    """The event files as a stream, upserted batch by batch until all are read."""
     root = shared_folder(spark, "upsert")
     target = ChangeTarget(f"{root}/target", _spec(name="events_upsert", once=True))
-    stream = _event_stream(spark, sf_dir)
+    stream = _event_stream(spark, sf_dir, root)
     target.start(stream, f"{root}/checkpoint").awaitTermination()
     return target.table(spark)
 
@@ -167,7 +196,7 @@ def history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "history")
     spec = _spec(scd_type=2, deletes=DELETES, name="events_history", once=True)
     target = ChangeTarget(f"{root}/target", spec)
-    stream = _event_stream(spark, sf_dir)
+    stream = _event_stream(spark, sf_dir, root)
     target.start(stream, f"{root}/checkpoint").awaitTermination()
     return target.table(spark)
 
@@ -226,7 +255,7 @@ def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table streamed into another one."""
     root = shared_folder(spark, "tables")
-    tag = root.rsplit("-", 1)[-1]
+    tag = folder_tag(root)
     source, copy = f"customer_{tag}", f"customer_copy_{tag}"
     customers = table(spark, sf_dir, "customer")
     materialize(customers, source, "customers", TableLayout(path=f"{root}/source"))

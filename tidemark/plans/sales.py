@@ -6,6 +6,8 @@ part; a line item with its order is the rental.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from tidemark.functions import amounts
 from tidemark.functions.calendar import CALENDAR_START, calendar, calendar_spanning
 from tidemark.operators import bookings as booking_ops
 from tidemark.operators.metrics import Dimension, Join, Measure, MetricView
-from tidemark.operators.quality import Rule, expect, row_filter, violations
+from tidemark.operators.quality import Rule, expect, row_filter
 from tidemark.operators.star import dimension, fact, hot_values, lookup_keys
 from tidemark.operators.surrogate import ROWS_PER_BUCKET
 from tidemark.sinks.tables import (
@@ -25,8 +27,8 @@ from tidemark.sinks.tables import (
     materialize,
     write_files,
 )
-from tidemark.sources.files import discover
-from tidemark.workspace import shared_folder
+from tidemark.sources.files import discover, read_files
+from tidemark.workspace import folder_tag, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,9 +103,11 @@ SALES_KEYS = {
 }
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order; both sides are large and meet by a shuffle."""
+def sales_lines(spark: SparkSession, sf_dir: str, with_orders: bool = True) -> DataFrame:
+    """Line items, with their order unless that is not needed; both sides are large and meet by a shuffle."""
     lines = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    if not with_orders:
+        return lines.withColumnRenamed("l_orderkey", "order_id")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus"
     )
@@ -111,22 +115,15 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.drop("o_orderkey").withColumnRenamed("l_orderkey", "order_id")
 
 
-def fact_sales(
-    spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None
-) -> DataFrame:
-    """Five lookups, the calendar in two roles; ``only`` keeps some key columns, drops the others."""
-    makers = {
-        "customer": lambda: dim_customer(spark, sf_dir),
-        "supplier": lambda: dim_supplier(spark, sf_dir),
-        "part": lambda: dim_part(spark, sf_dir),
-        "calendar": lambda: dim_calendar(spark),
+def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five lookups, the calendar in two roles."""
+    dims = {
+        "customer": dim_customer(spark, sf_dir),
+        "supplier": dim_supplier(spark, sf_dir),
+        "part": dim_part(spark, sf_dir),
+        "calendar": dim_calendar(spark),
     }
-    lines = sales_lines(spark, sf_dir)
-    wanted = {c: k for c, k in SALES_KEYS.items() if only is None or k in only}
-    unwanted = [c for c in SALES_KEYS if c not in wanted]
-    needed = {k.split("_")[0] for k in wanted.values()}
-    dims = {name: make() for name, make in makers.items() if name in needed}
-    return fact(lines.drop(*unwanted), wanted, dims)
+    return fact(sales_lines(spark, sf_dir), SALES_KEYS, dims)
 
 
 def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +169,7 @@ METRIC_DIMENSIONS = {
     "Order_Date": ("calendar", "date"),
     "Order_Year": ("calendar", "year"),
     "Order_Month": ("calendar", "month"),
-    "Customer_ID": ("customer", "customer_id"),
+    "Customer_ID": ("customer", "c_custkey"),
     "Customer_Segment": ("customer", "c_mktsegment"),
     "Supplier_Name": ("supplier", "s_name"),
     "Part_Brand": ("part", "p_brand"),
@@ -181,23 +178,35 @@ METRIC_DIMENSIONS = {
     "Part_Is_Premium": ("part", "p_retailprice > 950"),
 }
 METRIC_JOINS = {
-    "calendar": ("calendar_order_key", "calendar_order_id", "calendar_id"),
-    "customer": ("customer_key", "customer_id", "customer_id"),
-    "supplier": ("supplier_key", "supplier_id", "supplier_id"),
-    "part": ("part_key", "part_id", "part_id"),
+    "calendar": ("o_orderdate", "calendar_order_id", "calendar_id"),
+    "customer": ("o_custkey", "o_custkey", "c_custkey"),
+    "supplier": ("l_suppkey", "l_suppkey", "s_suppkey"),
+    "part": ("l_partkey", "l_partkey", "p_partkey"),
 }
 
 
 def sales_metrics(spark: SparkSession, sf_dir: str, joins: tuple[str, ...]) -> MetricView:
-    """The metric view with the named joins, over a fact that looks up just their keys."""
+    """The metric view with the named joins.
+
+    Tables are joined on their business keys: a query needs no surrogate ids, so no
+    dimension is numbered for it, and orders are joined only for keys that they hold.
+    """
     tables = {
         "calendar": lambda: dim_calendar(spark),
-        "customer": lambda: dim_customer(spark, sf_dir),
-        "supplier": lambda: dim_supplier(spark, sf_dir),
-        "part": lambda: dim_part(spark, sf_dir),
+        "customer": lambda: table(spark, sf_dir, "customer"),
+        "supplier": lambda: table(spark, sf_dir, "supplier"),
+        "part": lambda: table(spark, sf_dir, "part"),
+    }
+    needed = [METRIC_JOINS[j][0] for j in joins]
+    facts = sales_lines(spark, sf_dir, with_orders=any(c.startswith("o_") for c in needed))
+    facts = facts.drop(*[c for c in SALES_KEYS if c not in needed])
+    if "calendar" in joins:
+        facts = fact(facts, {"o_orderdate": "calendar_order_key"}, {"calendar": tables["calendar"]()})
+    measures = {
+        "Total_Cost": TOTAL_COST,
+        "Average_Quantity": AVERAGE_QUANTITY,
+        "Lines": Measure("count", "1"),
     }
-    facts = fact_sales(spark, sf_dir, only=tuple(METRIC_JOINS[j][0] for j in joins))
-    measures = {"Total_Cost": TOTAL_COST, "Average_Quantity": AVERAGE_QUANTITY}
     dimensions: dict[str, Dimension] = {
         "Return_Flag": Dimension("l_returnflag"),
         **{
@@ -271,16 +280,24 @@ def filtered_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each value of the three filters with the lines that pass the two others."""
+    """Each value of the three filters with the lines that pass the two others.
+
+    The lines are counted once by part; the three lists come from the few
+    combinations of filter values.
+    """
     view = sales_metrics(spark, sf_dir, ("part",))
     chosen = {"Part_Is_Large": True, "Part_Is_Economy": True, "Part_Is_Premium": False}
-    per_filter = [
-        view.filter_values(label, chosen, "lines").select(
-            F.lit(label).alias("filter"), F.col(label).alias("value"), "lines"
-        )
-        for label in chosen
-    ]
-    return per_filter[0].unionByName(per_filter[1]).unionByName(per_filter[2])
+    counts = view.query(list(chosen), ["Lines"]).withColumnRenamed("Lines", "n")
+    entries = []
+    for label in chosen:
+        others = F.lit(True)
+        for other, value in chosen.items():
+            if other != label:
+                others = others & F.coalesce(F.col(other) == value, F.lit(False))
+        passing = F.when(others, F.col("n")).otherwise(0)
+        entries.append(F.struct(F.lit(label).alias("filter"), F.col(label).alias("value"), passing.alias("n")))
+    rows = counts.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return rows.groupBy("filter", "value").agg(F.sum("n").alias("lines"))
 
 
 # -- rules, views, layouts ---------------------------------------------------------
@@ -293,8 +310,33 @@ LINE_RULES = {
 
 
 def expect_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [Rule(d, c) for d, c in LINE_RULES.items()]
-    return violations(table(spark, sf_dir, "lineitem"), rules)
+    """Each rule's counters after a run over all lines, which all stay."""
+    kept, counters = expect(table(spark, sf_dir, "lineitem"), LINE_RULES, "expect")
+    rows = kept.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+    counted = counters.get
+    return spark.createDataFrame(
+        [(rule, "expect", rows, int(counted[rule])) for rule in LINE_RULES], "rule string, action string, rows long, violations long"
+    )
+
+
+def expect_fail_keeps_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule and a cast that fail leave the earlier table; its rows are returned."""
+    path = shared_folder(spark, "kept")
+    name = "kept_" + folder_tag(path)
+    orders = table(spark, sf_dir, "orders")
+    layout = TableLayout(path=path)
+    materialize(orders.filter("o_orderstatus = 'F'"), name, layout=layout)
+    rule = [Rule("no large order", "o_totalprice < 100000", "expect_or_fail")]
+    wrong = orders.withColumn("o_orderstatus", F.col("o_orderpriority").cast("int").cast("string"))
+    failures = 0
+    for rows, rules in ((orders, rule), (wrong, None)):
+        try:
+            materialize(rows, name, layout=layout, rules=rules)
+        except Exception:  # noqa: BLE001 - the failure is what is shown
+            failures += 1
+    if failures != 2:
+        raise AssertionError("a failing rule or cast did not fail the write")
+    return spark.read.table(name)
 
 
 def expect_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,7 +458,7 @@ def pending_left_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 def confirm_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confirm the selected bookings into a confirmations table and read it back."""
     path = shared_folder(spark, "confirmed")
-    name = "confirmed_" + path.rsplit("-", 1)[-1]
+    name = "confirmed_" + folder_tag(path)
     create_table_if_absent(spark, name, booking_ops.CONFIRMED_SCHEMA, path=path)
     selected = _confirmed(spark, sf_dir, "O", with_nulls=True)
     append_rows(booking_ops.confirm(_bookings(spark, sf_dir), selected), name)
@@ -441,10 +483,26 @@ def submit_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, _ = booking_ops.submit(
         requests, booking_time=F.col("o_orderdate"), repeatable_guid=True
     )
-    return landed.drop("guid")
+    path = shared_folder(spark, "submitted")
+    write_files(landed, path, "json")
+    again = read_files(spark, path, "json", landed.schema)
+    # the guid comes from the content: each booking finds its own again
+    expected = landed.select("notes", F.col("guid").alias("expected"))
+    return again.join(expected, "notes").withColumn("guid_holds", F.col("guid") == F.col("expected")).drop("guid", "expected")
 
 
 def discover_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discover(spark, sf_dir)
+    """Tables landed in different formats, found again, and the rows that each has."""
+    root = shared_folder(spark, "found")
+    formats = {"nation": "json", "customer": "parquet", "supplier": "csv", "part": "orc"}
+    for name, file_format in formats.items():
+        write_files(table(spark, sf_dir, name), f"{root}/{name}", file_format)
+    counts = [
+        read_files(spark, f"{root}/{r['dataset']}", r["format"]).agg(
+            F.lit(r["dataset"]).alias("dataset"), F.lit(r["format"]).alias("format"), F.count(F.lit(1)).alias("rows")
+        )
+        for r in discover(spark, root).orderBy("dataset").collect()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 

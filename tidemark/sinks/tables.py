@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.quality import Rule, expectations, row_filter
+from tidemark.workspace import discard, publish, staging_folder
 
 FILE_FORMATS = ("csv", "json", "parquet", "orc")
 WRITE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
@@ -69,7 +71,11 @@ def write_files(
     mode: str = "overwrite",
     layout: TableLayout | None = None,
 ) -> None:
-    """A file sink. CSV holds atomic columns only, as in Spark itself."""
+    """A file sink. CSV holds atomic columns only, as in Spark itself.
+
+    An overwrite is written next to ``path`` and takes its place when it is complete;
+    if it fails, what was there stays.
+    """
     if file_format not in FILE_FORMATS:
         raise ValueError(f"format must be one of {FILE_FORMATS}, not {file_format!r}")
     if mode not in WRITE_MODES:
@@ -80,7 +86,23 @@ def write_files(
         writer = writer.option("header", "true")
     if layout.partition_cols:
         writer = writer.partitionBy(*layout.partition_cols)
-    writer.save(path)
+    if mode != "overwrite":
+        writer.save(path)
+        return
+    with _staged(df.sparkSession, path) as staged:
+        writer.save(staged)
+
+
+@contextmanager
+def _staged(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder to write to; it is published as ``path`` if nothing fails, else removed."""
+    staged = staging_folder(path)
+    try:
+        yield staged
+    except BaseException:
+        discard(spark, staged)
+        raise
+    publish(spark, staged, path)
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -142,7 +164,9 @@ def materialize(
 
     A batch is written and replaces (or appends to) the table; a stream is started
     into it and returned. ``private`` registers a temporary view and stores
-    nothing. ``visible_rows`` is a row filter, applied to what is stored.
+    nothing. An overwrite becomes the table when it is complete; if a rule or a task
+    fails, the earlier table stays. ``visible_rows`` is a row filter for readers: all
+    rows are stored, under ``hidden_name(name)``, and ``name`` is a view of the visible ones.
     """
     spark = df.sparkSession
     layout = layout or TableLayout()
@@ -151,21 +175,55 @@ def materialize(
     counters = None
     if rules:
         df, counters = expectations(df, rules, _view_safe(name))
-    df = row_filter(df, visible_rows)
     if private:
-        df.createOrReplaceTempView(_view_safe(name))
+        row_filter(df, visible_rows).createOrReplaceTempView(_view_safe(name))
         return counters
-    if df.isStreaming:
-        return stream_to_table(df, name, checkpoint, once, layout, file_format)
+    stored = hidden_name(name) if visible_rows else name
     with spark_settings(spark, spark_conf):
-        writer = arrange(df, layout).write.mode(mode).format(file_format)
+        if df.isStreaming:
+            query = stream_to_table(df, stored, checkpoint, once, layout, file_format)
+        elif mode == "overwrite" and table_exists(spark, stored):
+            _replace_table(df, stored, layout, file_format)
+        else:
+            _table_writer(df, layout, file_format, layout.path).mode(mode).saveAsTable(stored)
+    _describe(spark, stored, comment, layout.properties)
+    if visible_rows:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored} WHERE {visible_rows}")
+    return query if df.isStreaming else counters
+
+
+def hidden_name(name: str) -> str:
+    """Where a table with a row filter stores all its rows."""
+    return f"{name.rstrip('`')}__all_rows" + "`" * name.endswith("`")
+
+
+def _table_writer(df: DataFrame, layout: TableLayout, file_format: str, path: str | None):
+    writer = arrange(df, layout).write.format(file_format)
+    if layout.partition_cols:
+        writer = writer.partitionBy(*layout.partition_cols)
+    return writer.option("path", path) if path else writer
+
+
+def _replace_table(df: DataFrame, name: str, layout: TableLayout, file_format: str) -> None:
+    """Writes the new version beside the table, then lets it take its place."""
+    spark = df.sparkSession
+    if layout.path:
+        with _staged(spark, layout.path) as staged:
+            _table_writer(df, layout, file_format, None).save(staged)
+        spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=layout.path, source=file_format)
         if layout.partition_cols:
-            writer = writer.partitionBy(*layout.partition_cols)
-        if layout.path:
-            writer = writer.option("path", layout.path)
-        writer.saveAsTable(name)
-    _describe(spark, name, comment, layout.properties)
-    return counters
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.catalog.refreshTable(name)
+        return
+    fresh = f"{name.rstrip('`')}__{uuid.uuid4().hex}" + "`" * name.endswith("`")
+    try:
+        _table_writer(df, layout, file_format, None).saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
 def _describe(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.audit import add_audit
-from tidemark.workspace import is_file, path_exists, qualified_path
+from tidemark.workspace import is_file, path_exists, publish, qualified_path, staging_folder
 
 FORMATS = ("parquet", "json", "csv", "orc")
 CORRUPT_RECORD = "_corrupt_record"
@@ -21,12 +21,14 @@ READ_OPTIONS = {
 }
 
 
-def discover(spark: SparkSession, root: str, formats: tuple[str, ...] = FORMATS) -> DataFrame:
+def discover(spark: SparkSession, root: str) -> DataFrame:
     """Datasets below a landing folder as rows ``(dataset, format)``.
 
     A dataset is a folder of files or one file directly below ``root``. Only paths
-    are listed (Spark lists large folders in parallel), no file is opened. A
-    missing root is an error, not an empty result.
+    are listed (Spark lists large folders in parallel), no file is opened. Files of a
+    kind that cannot be read are listed under their suffix, or ``unknown`` without
+    one, so that whoever ingests them fails and loses nothing. A missing root is an
+    error, not an empty result.
     """
     _check_root(spark, root)
     listing = (
@@ -41,9 +43,10 @@ def discover(spark: SparkSession, root: str, formats: tuple[str, ...] = FORMATS)
     return (
         listing.select(
             F.regexp_extract(below, r"^([^/]+?)(\.\w+)?(/|$)", 1).alias("dataset"),
-            F.lower(F.regexp_extract(leaf, r"\.(\w+)$", 1)).alias("format"),
+            F.coalesce(
+                F.nullif(F.lower(F.regexp_extract(leaf, r"\.(\w+)$", 1)), F.lit("")), F.lit("unknown")
+            ).alias("format"),
         )
-        .filter(F.col("format").isin(*formats))
         .distinct()
     )
 
@@ -61,7 +64,10 @@ def _check_format(file_format: str) -> None:
 def infer_schema(spark: SparkSession, path: str, file_format: str) -> T.StructType:
     """Schema of the files now in ``path``; every column nullable."""
     _check_format(file_format)
-    schema = _reader(spark.read, file_format).load(path).schema
+    reader = _reader(spark.read, file_format)
+    if file_format in ("parquet", "orc"):
+        reader = reader.option("mergeSchema", "true")
+    schema = reader.load(path).schema
     if file_format == "json" and CORRUPT_RECORD not in schema.fieldNames():
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
     return schema
@@ -82,17 +88,33 @@ def read_files(
 def remembered_schema(
     spark: SparkSession, path: str, file_format: str, schema_location: str
 ) -> T.StructType:
-    """The schema inferred at the first start of a stream, kept for all later ones."""
+    """The columns of all starts so far, in order of appearance.
+
+    Each start looks at the files that are there by then; their new columns are added
+    behind the known ones. A column that comes with another type is an error.
+    """
+    schema = infer_schema(spark, path, file_format)
+    known = None
     if path_exists(spark, f"{schema_location}/_SUCCESS"):
         text = spark.read.text(schema_location, wholetext=True).first()[0]
-        return T.StructType.fromJson(json.loads(text))
-    schema = infer_schema(spark, path, file_format)
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(schema_location)
+        known = T.StructType.fromJson(json.loads(text))
+        schema = evolved(known, schema)
+    if schema != known:
+        staged = staging_folder(schema_location)
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(staged)
+        publish(spark, staged, schema_location)
     return schema
 
 
+def evolved(known: T.StructType, found: T.StructType) -> T.StructType:
+    """``known`` with the new columns of ``found``; a changed type is refused by name."""
+    types = {f.name: f.dataType for f in known.fields}
+    changed = [f.name for f in found.fields if f.name in types and f.dataType != types[f.name]]
+    if changed:
+        raise ValueError(f"columns with another type than before: {changed}")
+    return T.StructType([*known.fields, *[f for f in found.fields if f.name not in types]])
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -104,8 +126,9 @@ def file_stream(
 ) -> DataFrame:
     """Each file of a folder once, as a stream; progress is kept by the query's checkpoint.
 
-    Without ``schema`` it is inferred by a batch read; with ``schema_location``
-    only the first time. ``audit_source`` appends the audit struct.
+    Without ``schema`` it is inferred by a batch read of all files there; with
+    ``schema_location`` the columns of earlier starts stay. ``audit_source`` appends
+    the audit struct.
     """
     _check_format(file_format)
     if schema is None:

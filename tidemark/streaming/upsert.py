@@ -20,14 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import OP, SEQ, ChangeSpec, finish, reduce_log, to_log
-from tidemark.sinks.tables import trigger_options
+from tidemark.operators.changes import (
+    OP,
+    SEQ,
+    ChangeSpec,
+    after_truncate,
+    finish,
+    reduce_log,
+    to_log,
+)
+from tidemark.sinks.tables import trigger_options, write_files
 from tidemark.workspace import child_names, is_complete
 
-# The keys of a log up to this many rows are broadcast when it meets a snapshot.
-SMALL_LOG_ROWS = 2_000_000
-
-
 @dataclass(frozen=True)
 class ChangeTarget:
     """A target table kept as change log and snapshots in the folder ``root``."""
@@ -40,7 +44,7 @@ class ChangeTarget:
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
         """Reduce one batch of feed rows and put it into the log, replacing batch ``batch_id``."""
         reduced = reduce_log(to_log(changes, self.spec), self.spec)
-        reduced.write.mode("overwrite").parquet(self._batch(batch_id))
+        write_files(reduced, self._batch(batch_id), "parquet", "overwrite")
 
     def start(
         self,
@@ -69,9 +73,7 @@ class ChangeTarget:
         if not batches:
             return None
         last = max(batches)
-        self._merged(spark, snapshot, batches).write.mode("overwrite").parquet(
-            self._snapshot(last)
-        )
+        write_files(self._merged(spark, snapshot, batches), self._snapshot(last), "parquet", "overwrite")
         return last
 
     # -- reading ---------------------------------------------------------------
@@ -97,25 +99,25 @@ class ChangeTarget:
     def _merged(self, spark: SparkSession, snapshot: int | None, batches: list[int]) -> DataFrame:
         """Snapshot and batches as one reduced log.
 
-        A snapshot is reduced already. Against a small log only its rows with a
-        key of the log take part in the reduction; all others pass as they are,
-        neither shuffled nor sorted.
+        A snapshot is reduced already: only its rows with a key of the log take part
+        in the reduction, all others pass as they are. Spark joins the log's keys as
+        their size allows. Rows that a truncate has cleared are left out.
         """
         if not batches:
             return self._read(spark, snapshot, [])
+        if snapshot is None or self.spec.truncates:
+            every = self._read(spark, snapshot, batches)
+            return reduce_log(after_truncate(every, self.spec), self.spec)
         log = self._read(spark, None, batches)
-        if snapshot is None:
-            return reduce_log(log, self.spec)
         stored = self._read(spark, snapshot, [])
-        if log.count() > SMALL_LOG_ROWS:
-            return reduce_log(stored.unionByName(log), self.spec)
-        changed = F.broadcast(log.select(*[F.col(k).alias(f"_in_{k}") for k in self.spec.keys]))
+        changed = log.select(*[F.col(k).alias(f"_in_{k}") for k in self.spec.keys]).distinct()
         same = F.lit(True)
         for k in self.spec.keys:
             same = same & F.col(k).eqNullSafe(F.col(f"_in_{k}"))
-        touched = stored.join(changed, same, "left_semi").unionByName(log)
+        touched = stored.join(changed, same, "left_semi").unionByName(log, allowMissingColumns=True)
         untouched = stored.join(changed, same, "left_anti")
-        return untouched.unionByName(reduce_log(touched, self.spec))
+        reduced = reduce_log(touched, self.spec)
+        return reduced.unionByName(untouched, allowMissingColumns=True)
 
     # -- folders ---------------------------------------------------------------
 
@@ -141,7 +143,8 @@ class ChangeTarget:
 
     def _read(self, spark: SparkSession, snapshot: int | None, batches: list[int]) -> DataFrame:
         folders = [] if snapshot is None else [self._snapshot(snapshot)]
-        return spark.read.parquet(*folders, *[self._batch(b) for b in batches])
+        # a column that came later is null in the batches before it
+        return spark.read.option("mergeSchema", "true").parquet(*folders, *[self._batch(b) for b in batches])
 
 
 def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:

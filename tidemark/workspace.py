@@ -14,14 +14,44 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder every executor can reach, below the cluster's checkpoint folder.
 
     A machine-local folder is used only when none is configured and the session
-    runs on a single machine, as in tests.
+    runs on a single machine, as in tests. The folder is deleted when the driver ends.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    jpath, fs = _path_and_fs(spark, folder)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return f"{folder}/data"
+
+
+def folder_tag(folder: str) -> str:
+    """The unique part of a ``shared_folder``'s name, for names in the catalog."""
+    return folder.rsplit("-", 1)[-1].partition("/")[0]
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished folder ``staged`` in the place of ``path``."""
+    source, fs = _path_and_fs(spark, staged)
+    target, _ = _path_and_fs(spark, path)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {staged} to {path}")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    jpath, fs = _path_and_fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def staging_folder(path: str) -> str:
+    """A new folder next to ``path``, hidden from readers of the folder around both."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staged-{name}-{uuid.uuid4().hex}"
 
 
 def _path_and_fs(spark: SparkSession, path: str):
