@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.workspace import shared_folder
+from tidemark.workspace import discard, shared_folder
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,7 +26,9 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read.stored_at = path
+    return read
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -52,7 +54,10 @@ def text_runs(texts: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int,
     yield first, len(sizes)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished jobs that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote, and lets Spark delete shuffle files that nothing refers to any more."""
+    for df in tables:
+        discard(spark, df.stored_at)
+    for _ in range(2):  # the second round finds what the first one's finalizers let go
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()

@@ -166,7 +166,8 @@ def _linked(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
 def _counted_in_blocks(members: DataFrame, least: float) -> DataFrame:
     """For each node of ``members`` (node, component, unit, copies): the copies of all it is linked with, ``linked``."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # written, so that the join with it can split a component that holds most rows
+    sizes = stored(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "component-sizes")
     dealt = (
         members.join(sizes, "component")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))

@@ -135,7 +135,7 @@ class _Tree(HTMLParser):
 def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
     """Points, text length and link text length of each element."""
     n = len(tree.tags)
-    length, links, commas, own = [0] * n, [0] * n, [0] * n, [0] * n
+    length, links, commas = [0] * n, [0] * n, [0] * n
     linked = [False] * n
     for i in range(1, n):
         linked[i] = linked[tree.parents[i]] or tree.tags[i] == "a"
@@ -147,9 +147,9 @@ def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
             if linked[i]:
                 links[i] += size
     # what stands in inline elements belongs to the block around them
+    own = list(length)
     for i in range(n - 1, 0, -1):
         p = tree.parents[i]
-        own[i] += length[i]
         if tree.tags[i] in INLINE:
             own[p] += own[i]
             commas[p] += commas[i]
@@ -165,7 +165,7 @@ def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
             continue
         gain = (1 + commas[i] + min(own[i] / 100, 3)) * (1 - links[i] / max(length[i], 1))
         around, level = (tree.parents[i], 1) if is_paragraph else (i, 1)
-        while around > 0:
+        while around > 0 and level < 1000:  # further up next to nothing arrives
             points[around] += gain / level
             around, level = tree.parents[around], level * 2 if level < 2 else level * 3
     return points, length, links
@@ -174,7 +174,7 @@ def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
 def main_text(html: str) -> str:
     """The text blocks of a page's article, one a line; empty if it has none."""
     tree = _Tree()
-    tree.feed(html)
+    tree.feed(re.sub(r"<[/!?a-zA-Z][^<>]*\Z", "", html))  # a tag that the page's end cuts off
     tree.close()
     tree._pop(1)
     points, length, links = _scores(tree)
@@ -195,7 +195,7 @@ def main_text(html: str) -> str:
     if best > 0 and tags[best] not in ("article", "main", "body"):
         for i in range(1, n):
             if parents[i] == parents[best] and not tree.out[i]:
-                similar = points[i] * (1 - density[i]) >= max(10.0, 0.2 * most)
+                similar = points[i] > 0 and points[i] * (1 - density[i]) >= 0.2 * most
                 paragraph = tags[i] in PARAGRAPHS and (length[i] > 80 and density[i] < 0.25 or 0 < length[i] <= 80 and not links[i])
                 heading = tags[i] in ("h1", "h2", "h3", "header") and not links[i]
                 kept[i] = kept[i] or similar or paragraph or heading

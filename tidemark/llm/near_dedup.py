@@ -146,7 +146,8 @@ def _linked_in_blocks(crowds: DataFrame, sets: DataFrame, percent: int) -> DataF
 
     The members are dealt into blocks of about ``BLOCK``; two blocks at a time meet in one group.
     """
-    blocks = crowds.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # written, so that the join with it can split a crowd that holds most rows
+    blocks = stored(crowds.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "crowd-sizes")
     dealt = (
         crowds.join(blocks, "crowd")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))

@@ -100,7 +100,7 @@ def equal_strings(x: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         starts = np.cumsum(sizes) - sizes
         inside = np.repeat(left - starts, sizes) + np.arange(int(sizes.sum()))
         key = np.repeat(np.arange(len(left)), sizes) * 512 + front[inside]
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         key, to = key[by], image[inside[by]]
         edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         low, high = np.minimum.reduceat(to, edges), np.maximum.reduceat(to, edges)
@@ -174,14 +174,15 @@ def _place(key: Column, start: Column, plain: bool) -> Column:
     return F.struct(key.alias("key"), start.cast("int").alias("start"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, slices: int = 2) -> DataFrame:
     """One row per row: its id, ``n_bytes``, ``n_removed``, ``n_spans``, the removed ``spans`` and the bytes ``kept``.
 
     A byte is removed if a string of ``length`` bytes around it also starts earlier: in a text
     with a smaller id, or earlier in the same text. Strings overlap, none reaches across texts, and
     all are judged on the input. ``spans`` are (begin, end) pairs in bytes. A null text counts as empty. Rows
     that repeat an id are told apart by a hash of their texts, which orders them, and are one text if these
-    agree. A null id is smaller than any other. ``kept`` may begin or end inside a character.
+    agree. A null id is smaller than any other. ``kept`` may begin or end inside a character. The bytes of
+    repeated segments are shuffled in ``slices`` by anchor, one after the other, to use less disk at a time.
     """
     if length < 2 * ANCHOR:
         raise ValueError(f"length is at least {2 * ANCHOR}")
@@ -204,8 +205,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = stored(rows.mapInArrow(cut, f"key {key_type}, start int, n int, anchor long"), "segments")
     twice = stored(dealt.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor"), "anchors")
     again = stored(dealt.join(twice, "anchor"), "repeated-segments")
-    del dealt, twice
-    release(docs.sparkSession)
+    release(docs.sparkSession, dealt, twice)
 
     def with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,13 +222,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 pieces = [raw[b : b + k + length - 1] for b, k in zip(begin.tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(start), pa.array(anchor), pa.array(pieces, pa.binary())], names=["key", "start", "anchor", "bytes"])
 
-    listed = again.groupBy("key").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("segments"))
-    cut_out = rows.join(listed, "key").select("key", "text", "segments").mapInArrow(with_bytes, f"key {key_type}, start int, anchor long, bytes binary")
-    merged = cut_out.select("anchor", "bytes", _place(F.col("key"), F.col("start"), plain).alias("place")).groupBy("anchor", "bytes").agg(F.min("place").alias("place"))
-    merged = stored(merged, "distinct-segments")
+    def merged_slice(number: int) -> DataFrame:
+        """The different segments of a part of the anchors, with the first place of each."""
+        part = again.filter(F.pmod(F.xxhash64("anchor"), F.lit(slices)) == number)
+        listed = part.groupBy("key").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("segments"))
+        cut_out = rows.join(listed, "key").select("key", "text", "segments").mapInArrow(with_bytes, f"key {key_type}, start int, anchor long, bytes binary")
+        placed = cut_out.select("anchor", "bytes", _place(F.col("key"), F.col("start"), plain).alias("place"))
+        return placed.groupBy("anchor", "bytes").agg(F.min("place").alias("place"))
+
+    merged = None
+    for number in range(slices):
+        done = stored(merged_slice(number), "distinct-segments")
+        merged = done if merged is None else merged.union(done)
+        release(docs.sparkSession)
     kinds = stored(merged.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "mixed-anchors")
     mixed = stored(merged.join(kinds, "anchor"), "mixed-segments")
-    del cut_out, listed
     release(docs.sparkSession)
 
     place_type = merged.schema["place"].dataType.simpleString()
@@ -252,7 +260,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spots = again.select("key", "start", "n", _place(F.col("key"), F.col("start"), plain).alias("place")).join(firsts, "place", "left")
     spots = spots.filter("is_first is null or gone is not null")
     spots = stored(spots.groupBy("key").agg(F.collect_list(F.struct("start", "n", "gone")).alias("spots")), "repeats")
-    del merged, mixed, again, firsts
     release(docs.sparkSession)
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
