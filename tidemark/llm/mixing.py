@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored, table
+from tidemark.llm.common import WORD, stored, table, tasks
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -215,7 +215,9 @@ def _slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
         .withColumns({f"{c}_from": F.coalesce(F.sum(c).over(by_place), F.lit(0)) for c in ("over", "under")})
     )
     numbered = (
-        drawn.withColumn("index", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
+        # few rows that stand for many slots: dealt out before they are written out
+        drawn.repartition(tasks(spark), "shard", "place")
+        .withColumn("index", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
         .join(accounts, "place")
         .select("shard", "place", "index", "n_slots", "n_blocks", (F.col("over_from") + F.col("index") - F.col("n_slots")).alias("turn"))
     )
