@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 
@@ -12,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def build_session() -> SparkSession:
     work = tempfile.mkdtemp(prefix="tidemark-test-")
+    atexit.register(shutil.rmtree, work, True)
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("tidemark-tests")

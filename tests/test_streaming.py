@@ -13,7 +13,7 @@ from tests import model
 from tests.test_changes import current, frame, history, random_rows, row, spec
 from tidemark.functions.audit import INGEST_SEQUENCE
 from tidemark.operators.changes import ChangeSpec, apply_changes
-from tidemark.sinks.tables import write_files
+from tidemark.sinks.tables import await_all, write_files
 from tidemark.sources.files import file_stream
 from tidemark.streaming import upsert
 from tidemark.streaming.upsert import ChangeTarget, specs_from_config, start_flows
@@ -178,3 +178,15 @@ def test_truncated_rows_leave_the_snapshot(spark, tmp_path):
     target.write_batch(spark.sql("select cast(null as string) k, 98L seq, 't' op"), 1)
     target.compact(spark)
     assert target.log(spark).count() == 2 and target.table(spark).count() == 1
+
+
+def test_a_failing_stream_stops_the_others(spark, tmp_path):
+    def failing(batch, number):
+        raise ValueError("no batch today")
+
+    rate = spark.readStream.format("rate").load()
+    long = rate.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "a")).start()
+    short = rate.writeStream.foreachBatch(failing).option("checkpointLocation", str(tmp_path / "b")).start()
+    with pytest.raises(Exception, match="no batch today"):
+        await_all([long, short])
+    assert not long.isActive

@@ -15,7 +15,7 @@ from tidemark.functions.calendar import CALENDAR_START, calendar
 from tidemark.operators import bookings as booking_ops
 from tidemark.operators.metrics import Join, Measure, MetricView
 from tidemark.operators.star import dimension, fact
-from tidemark.sinks.tables import write_files
+from tidemark.sinks.tables import await_all, write_files
 from tidemark.sources.files import discover, file_stream
 from tidemark.streaming.upsert import ChangeTarget, specs_from_config, start_flows
 
@@ -83,6 +83,10 @@ FILTER_LABELS = (
 )
 
 
+# A micro-batch takes this many files, so that a first run over a large folder is many batches.
+FILES_PER_BATCH = 1000
+
+
 def ingest_raw(
     spark: SparkSession, landing: str, raw: str, checkpoints: str, source_system: str
 ) -> list[str]:
@@ -99,6 +103,7 @@ def ingest_raw(
             row.format,
             schema_location=f"{raw}/_schemas/{row.dataset}",
             audit_source=source_system,
+            max_files_per_trigger=FILES_PER_BATCH,
         )
         queries.append(
             stream.writeStream.format("parquet")
@@ -106,8 +111,7 @@ def ingest_raw(
             .trigger(availableNow=True)
             .start(f"{raw}/{row.dataset}")
         )
-    for query in queries:
-        query.awaitTermination()
+    await_all(queries)
     return [row.dataset for row in found]
 
 
@@ -116,10 +120,12 @@ def load_base(
 ) -> dict[str, ChangeTarget]:
     """The raw tables followed into base tables, one change flow each."""
     specs = {name: specs_from_config(config)[name] for name in datasets if name in config}
-    streams = {name: file_stream(spark, f"{raw}/{name}", "parquet") for name in datasets}
+    streams = {
+        name: file_stream(spark, f"{raw}/{name}", "parquet", max_files_per_trigger=FILES_PER_BATCH)
+        for name in datasets
+    }
     flows = start_flows(streams, specs, base, f"{checkpoints}/base", once=True)
-    for _, query in flows.values():
-        query.awaitTermination()
+    await_all(query for _, query in flows.values())
     return {name: target for name, (target, _) in flows.items()}
 
 

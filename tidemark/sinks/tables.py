@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -250,6 +250,18 @@ def trigger_options(once: bool, interval: str = "1 minute") -> dict:
     return {"availableNow": True} if once else {"processingTime": interval}
 
 
+def await_all(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for all streams; when one fails the others are stopped and its error is raised."""
+    running = list(queries)
+    try:
+        while running:
+            running = [q for q in running if not q.awaitTermination(1)]
+    except BaseException:
+        for query in running:
+            query.stop()
+        raise
+
+
 def stream_to_table(
     stream: DataFrame,
     name: str,
