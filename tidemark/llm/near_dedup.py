@@ -2,9 +2,9 @@
 
 Documents with the same set of word shingles are one class. A class has a signature
 of ``COORDINATES`` minima and is posted under each (coordinate, value). Two classes
-whose sets agree to the threshold share at least ``MATCHES`` coordinates but for a
-chance below 1e-6, and then also one of the rarest COORDINATES - MATCHES + 1 of each: only
-these are joined (prefix), and what no other class has is skipped.
+whose sets agree to the threshold share at least ``MATCHES`` coordinates but for a chance of
+two in a million, and then also one of the rarest COORDINATES - MATCHES + 1 of each: only these
+are joined (prefix), and what no other class has is skipped.
 
 Postings of up to ``SMALL`` classes give all their pairs. Longer ones first give one pair
 for each member, with their smallest class; what these pairs link is one component.
