@@ -69,7 +69,7 @@ class Pieces:
     Other kinds of models, and pieces that users defined or left unused, are refused.
     """
 
-    def __init__(self, model: bytes, most_chunks: int = 500_000):
+    def __init__(self, model: bytes, most_chunks: int = 250_000):
         from sentencepiece import sentencepiece_model_pb2
 
         proto = sentencepiece_model_pb2.ModelProto.FromString(model)
