@@ -53,3 +53,26 @@ def test_no_rows(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     one = spark.createDataFrame([(3, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in near_vectors(one).collect()] == [(3, 0, 3, True)]
+
+
+def grouped(centers, each, within, seed):
+    """Unit vectors around each center, all at the same angle from it, in directions of their own."""
+    draw = np.random.default_rng(seed)
+    out = []
+    for c in centers:
+        side = draw.standard_normal((each, len(c)))
+        side -= np.outer(side @ c, c)
+        out.append(np.sqrt(within) * c + np.sqrt(1 - within) * side / np.linalg.norm(side, axis=1, keepdims=True))
+    return np.concatenate(out)
+
+
+def test_groups_that_fill_each_others_lists_are_one(spark):
+    centers = np.zeros((4, 64))
+    centers[0, 0] = centers[2, 1] = centers[3, 2] = 1
+    angle = np.arccos(0.96 / 0.99)
+    centers[1, 0], centers[1, 3] = np.cos(angle), np.sin(angle)
+    rows = list(enumerate(grouped(centers, 60, 0.99, 3).tolist()))
+    want = brute(rows)
+    assert len({r[2] for r in want}) == 3
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(tuple(r) for r in got.collect()) == want

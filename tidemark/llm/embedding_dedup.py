@@ -7,9 +7,12 @@ one, meet and offer each other as neighbours. When the edges near the threshold
 growing, those that reach it in double precision link their ends.
 
 A list whose last neighbour is still near the threshold is saturated and may lack
-some. It is enlarged to all of its component, compared block by block, so that links
-are counted whole however many there are. Recall is audited on a fixed number of
-classes against all others; the descent starts again with longer lists while it is too low.
+some, in its own component and in others. Components with such lists are compared with
+each other, block by block, wherever the distance of two of their members and how far
+the others lie from these allow a link; what links them makes one component. A crowded
+component's links are then counted block by block, so that they are whole however many
+there are. Recall is audited on a fixed number of classes against all others; the descent
+starts again with longer lists while it is too low.
 """
 
 from __future__ import annotations
@@ -164,6 +167,94 @@ def _linked(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _crowded(lists: DataFrame, found: DataFrame, classes: DataFrame, saturated) -> DataFrame:
+    """``node``, ``component``, ``dim``, ``unit``, ``copies`` of the members of components with a saturated list; a node without links is one, too."""
+    named = classes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "dim", "unit", "copies")
+    full = stored(lists.filter(saturated).select("node").join(named, "node").select("component").distinct(), "full")
+    return stored(named.join(full, "component"), "crowded")
+
+
+def _possible(crowded: DataFrame, least: float) -> DataFrame:
+    """Pairs of components (``ca`` < ``cb``) that may have links between them, ``limit_a`` and ``limit_b``: how far from the other's hub a member with a link can lie.
+
+    A component's hub is its smallest member, its ``radius`` the largest angle between the
+    hub and a member. Members of two components are linked only if their hubs' angle is at
+    most both radii and the angle of the threshold.
+    """
+    reach = float(np.arccos(least)) + 1e-6
+    hubs = stored(crowded.groupBy("component").agg(F.min(F.struct("node", "dim", "unit")).alias("hub")).select("component", F.col("hub.dim").alias("dim"), F.col("hub.unit").alias("hub")), "hubs")
+    far = crowded.join(hubs.select("component", "hub"), "component").select("component", "unit", "hub").mapInArrow(_angles, "component long, angle double")
+    hubs = stored(hubs.join(far.groupBy("component").agg(F.max("angle").alias("radius")), "component"), "hubs")
+    sizes = stored(hubs.groupBy("dim").agg(F.ceil(F.count("*") / (4 * BLOCK)).cast("int").alias("blocks")), "hub-blocks")
+    dealt = (
+        hubs.join(sizes, "dim")
+        .withColumn("own", F.pmod(F.xxhash64("component"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("dim", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "component", "hub", "radius")
+    )
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        x, y = (part[part["own"] == part[k].iloc[0]] for k in ("i", "j"))
+        if not len(x) or not len(y):
+            return pd.DataFrame({"ca": np.zeros(0, "i8"), "cb": np.zeros(0, "i8"), "limit_a": np.zeros(0), "limit_b": np.zeros(0)})
+        u, v = (np.stack([np.frombuffer(b, "f8") for b in p["hub"]]) for p in (x, y))
+        r, q, a, b = x["radius"].to_numpy(), y["radius"].to_numpy(), x["component"].to_numpy(), y["component"].to_numpy()
+        near = np.arccos(np.clip(u @ v.T, -1, 1)) <= r[:, None] + q[None, :] + reach
+        near &= a[:, None] < b[None, :] if part["i"].iloc[0] == part["j"].iloc[0] else True
+        at, to = np.nonzero(near)
+        turned = a[at] > b[to]
+        out = {"ca": np.where(turned, b[to], a[at]), "cb": np.where(turned, a[at], b[to])}
+        return pd.DataFrame(out | {"limit_a": np.where(turned, r[at], q[to]) + reach, "limit_b": np.where(turned, q[to], r[at]) + reach})
+
+    pairs = dealt.groupBy("dim", "i", "j").applyInPandas(meet, "ca long, cb long, limit_a double, limit_b double")
+    a, b = hubs.select(F.col("component").alias("ca"), F.col("hub").alias("hub_a")), hubs.select(F.col("component").alias("cb"), F.col("hub").alias("hub_b"))
+    return pairs.join(a, "ca").join(b, "cb")
+
+
+def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column and the angle between the vectors in the second and the third one."""
+    for batch in batches:
+        cosine = [np.frombuffer(x, "f8") @ np.frombuffer(y, "f8") for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.arccos(np.clip(np.array(cosine, "f8"), -1, 1)))], names=["component", "angle"])
+
+
+def _linked_across(crowded: DataFrame, least: float) -> DataFrame:
+    """Links (``a``, ``b``) between crowded components: at least one between any two that have some."""
+    pairs = stored(_possible(crowded, least), "possible")
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cosine = [np.frombuffer(x, "f8") @ np.frombuffer(y, "f8") for x, y in zip(batch.column("unit").to_pylist(), batch.column("hub").to_pylist(), strict=True)]
+            angle = np.arccos(np.clip(np.array(cosine, "f8"), -1, 1))
+            yield batch.select(["ca", "cb", "side", "node", "unit"]).filter(pa.array(angle <= batch.column("limit").to_numpy()))
+
+    sides = [
+        pairs.select("ca", "cb", F.lit(0).alias("side"), F.col("limit_a").alias("limit"), F.col("hub_b").alias("hub"), F.col("ca").alias("component")),
+        pairs.select("ca", "cb", F.lit(1).alias("side"), F.col("limit_b").alias("limit"), F.col("hub_a").alias("hub"), F.col("cb").alias("component")),
+    ]
+    members = sides[0].union(sides[1]).join(crowded.select("component", "node", "unit"), "component").select("ca", "cb", "side", "limit", "hub", "node", "unit")
+    members = stored(members.mapInArrow(close, "ca long, cb long, side int, node long, unit binary"), "reaching")
+    blocks = lambda side: F.ceil(F.count(F.when(F.col("side") == side, 1)) / BLOCK).cast("int")
+    sizes = stored(members.groupBy("ca", "cb").agg(blocks(0).alias("n"), blocks(1).alias("m")).filter("n > 0 and m > 0"), "reaching-sizes")
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("n")).otherwise(F.col("m"))).cast("int")
+    dealt = (
+        members.join(sizes, ["ca", "cb"])
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("m")).otherwise(F.col("n")) - 1)))
+        .select("ca", "cb", F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other")).alias("i"), F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own")).alias("j"), "side", "node", "unit")
+    )
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        x, y = part[part["side"] == 0], part[part["side"] == 1]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": np.zeros(0, "i8"), "b": np.zeros(0, "i8")})
+        u, v = (np.stack([np.frombuffer(b, "f8") for b in p["unit"]]) for p in (x, y))
+        at, to = (w[:1] for w in np.nonzero(u @ v.T >= least))
+        return pd.DataFrame({"a": x["node"].to_numpy()[at], "b": y["node"].to_numpy()[to]})
+
+    return dealt.groupBy("ca", "cb", "i", "j").applyInPandas(meet, "a long, b long")
+
+
 def _counted_in_blocks(members: DataFrame, least: float) -> DataFrame:
     """For each node of ``members`` (node, component, unit, copies): the copies of all it is linked with, ``linked``."""
     # written, so that the join with it can split a component that holds most rows
@@ -245,7 +336,7 @@ def near_vectors(
 
     for attempt in range(attempts):
         k = neighbours << attempt
-        found, counted = _descent(classes, least, k, orders << attempt, most_rounds)
+        found, counted, _ = _descent(classes, least, k, orders << attempt, most_rounds)
         if _audited(classes, counted, least, probes) >= recall:
             break
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -261,8 +352,8 @@ def near_vectors(
     )
 
 
-def _descent(classes: DataFrame, least: float, k: int, orders: int, most_rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Components (``node``, ``component``) and link counts (``node``, ``linked``) of the linked classes."""
+def _descent(classes: DataFrame, least: float, k: int, orders: int, most_rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Components (``node``, ``component``) and link counts (``node``, ``linked``) of the linked classes, and the ``node`` of those in crowded components."""
     lists = stored(_best(_ordered(classes, orders, k), k), "neighbours")
     near = F.size(F.filter("near", lambda e: e["away"] <= SLACK - least))
 
@@ -280,12 +371,16 @@ def _descent(classes: DataFrame, least: float, k: int, orders: int, most_rounds:
     pairs = close.select(F.least("a", "entry.id").alias("a"), F.greatest("a", "entry.id").alias("b")).distinct()
     links = stored(_linked(pairs, classes, least), "links")
     found = components(links)
-    full = lists.filter(near >= k).select("node").join(found, "node").select("component").distinct()
-    crowded = stored(found.join(full, "component", "left_semi"), "crowded")
-    blocks = _counted_in_blocks(crowded.join(classes.select("node", "unit", "copies"), "node"), least)
+    crowded = _crowded(lists, found, classes, near >= k)
+    across = stored(_linked_across(crowded, least), "links-across")
+    if not across.isEmpty():
+        links = stored(links.union(across), "links")
+        found = components(links)
+        crowded = _crowded(lists, found, classes, near >= k)
+    blocks = _counted_in_blocks(crowded, least)
     ends = links.union(links.select("b", "a")).toDF("node", "other").join(crowded.select("node"), "node", "left_anti")
     listed = ends.join(classes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("linked"))
-    return found, stored(blocks.union(listed), "link-counts")
+    return found, stored(blocks.union(listed), "link-counts"), crowded
 
 
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
