@@ -76,3 +76,12 @@ def test_groups_that_fill_each_others_lists_are_one(spark):
     assert len({r[2] for r in want}) == 3
     got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_lost_pairs_beside_a_crowd_are_compared_at_last(spark):
+    draw = np.random.default_rng(5)
+    crowd = grouped(np.eye(48)[:1], 150, 0.99, 6)
+    x = draw.standard_normal((400, 48))
+    rows = list(enumerate([*crowd.tolist(), *x.tolist(), *(x + 0.15 * draw.standard_normal(x.shape)).tolist()]))
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), orders=1, most_rounds=0, attempts=1)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)

@@ -12,7 +12,7 @@ each other, block by block, wherever the distance of two of their members and ho
 the others lie from these allow a link; what links them makes one component. A crowded
 component's links are then counted block by block, so that they are whole however many
 there are. Recall is audited on a fixed number of classes against all others; the descent
-starts again with longer lists while it is too low.
+starts again with longer lists while it is too low, and at last all classes are compared.
 """
 
 from __future__ import annotations
@@ -255,36 +255,63 @@ def _linked_across(crowded: DataFrame, least: float) -> DataFrame:
     return dealt.groupBy("ca", "cb", "i", "j").applyInPandas(meet, "a long, b long")
 
 
+def _compared(classes: DataFrame, found: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Components and link counts as of ``_descent``, by comparing all classes; ``found`` holds components known before."""
+    named = classes.join(found, "node", "left").select("node", F.col("dim").cast("long").alias("component"), F.coalesce("component", "node").alias("known"), "unit", "copies")
+    met = stored(_met_in_blocks(stored(named, "compared"), least), "met")
+    known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    linked = met.filter("linked > 0").groupBy("node").agg(F.sum("linked").alias("linked"))
+    return components(known.union(met.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))), stored(linked, "link-counts")
+
+
 def _counted_in_blocks(members: DataFrame, least: float) -> DataFrame:
     """For each node of ``members`` (node, component, unit, copies): the copies of all it is linked with, ``linked``."""
+    met = _met_in_blocks(members.withColumn("known", F.col("component")), least)
+    return met.groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
+def _met_in_blocks(members: DataFrame, least: float) -> DataFrame:
+    """For each node of ``members`` (node, component, known, unit, copies) and block of its component the copies of
+    all it is linked with, ``linked``; and with ``other`` one node of each other ``known`` that it is linked with, counting 0."""
     # written, so that the join with it can split a component that holds most rows
     sizes = stored(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "component-sizes")
     dealt = (
         members.join(sizes, "component")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "unit", "copies")
+        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "known", "unit", "copies")
     )
 
     def meet(part: pd.DataFrame) -> pd.DataFrame:
         i, j = part["i"].iloc[0], part["j"].iloc[0]
         x, y = part[part["own"] == i], part[part["own"] == j]
         if not len(x) or not len(y):
-            return pd.DataFrame({"node": np.zeros(0, "i8"), "linked": np.zeros(0, "i8")})
+            return pd.DataFrame({"node": np.zeros(0, "i8"), "linked": np.zeros(0, "i8"), "other": pd.array([], "Int64")})
         u, v = (np.stack([np.frombuffer(b, "f8") for b in p["unit"]]) for p in (x, y))
-        hit = (u @ v.T >= least) & (x["node"].to_numpy()[:, None] != y["node"].to_numpy()[None, :])
-        counts = [(x["node"].to_numpy(), hit @ y["copies"].to_numpy())]
+        a, b = x["node"].to_numpy(), y["node"].to_numpy()
+        hit = (u @ v.T >= least) & (a[:, None] != b[None, :])
+        counts = [(a, hit @ y["copies"].to_numpy())]
         if i != j:
-            counts.append((y["node"].to_numpy(), hit.T @ x["copies"].to_numpy()))
-        return pd.DataFrame({"node": np.concatenate([n for n, _ in counts]), "linked": np.concatenate([c for _, c in counts])})
+            counts.append((b, hit.T @ x["copies"].to_numpy()))
+        kind, of = x["known"].to_numpy(), y["known"].to_numpy()
+        at, to = np.nonzero(hit & (kind[:, None] != of[None, :]))
+        _, first = np.unique(np.stack([at, of[to]]), axis=1, return_index=True)
+        at, to = at[first], to[first]
+        none = [pd.array([pd.NA] * len(n), "Int64") for n, _ in counts]
+        parts = [pd.DataFrame({"node": n, "linked": c, "other": o}) for (n, c), o in zip(counts, none, strict=True)]
+        return pd.concat([*parts, pd.DataFrame({"node": a[at], "linked": np.zeros(len(at), "i8"), "other": pd.array(b[to], "Int64")})])
 
-    met = dealt.groupBy("component", "i", "j").applyInPandas(meet, "node long, linked long")
-    return met.groupBy("node").agg(F.sum("linked").alias("linked"))
+    return dealt.groupBy("component", "i", "j").applyInPandas(meet, "node long, linked long, other long")
 
 
-def _audited(classes: DataFrame, counted: DataFrame, least: float, probes: int) -> float:
-    """The share of the links of ``probes`` classes, chosen by hash, that was found; 1 if they have none."""
-    queries = classes.orderBy(F.xxhash64("node"), "node").limit(probes).select("node", "unit").toPandas()
+def _audited(classes: DataFrame, counted: DataFrame, crowded: DataFrame, least: float, probes: int) -> float:
+    """The mean share of a class's links that was found, in crowded components or out of them, whichever is less.
+
+    It is taken over those of ``probes`` classes of either kind, chosen by hash, that have links; 1 if none has.
+    """
+    kinds = [classes.join(crowded.select("node"), "node", kind).select("node", "unit").orderBy(F.xxhash64("node"), "node").limit(probes).toPandas() for kind in ("left_semi", "left_anti")]
+    queries = pd.concat(kinds, ignore_index=True)
+    inside = set(kinds[0]["node"].tolist())
     units = [np.frombuffer(b, "f8") for b in queries["unit"]]
     dims = {len(u) for u in units}
     shared = classes.sparkSession.sparkContext.broadcast({d: (queries["node"].to_numpy()[[len(u) == d for u in units]], np.stack([u for u in units if len(u) == d])) for d in dims})
@@ -302,8 +329,9 @@ def _audited(classes: DataFrame, counted: DataFrame, least: float, probes: int)
                         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(hit @ copies[at])], names=["node", "true"])
 
     truth = classes.select("node", "unit", "copies").mapInArrow(run, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
-    both = truth.join(counted, "node", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("linked", F.lit(0))).alias("f")).first()
-    return both["f"] / both["t"] if both["t"] else 1.0
+    both = truth.filter(F.col("true") > 0).join(counted, "node", "left").select("node", (F.coalesce("linked", F.lit(0)) / F.col("true")).alias("share")).collect()
+    shares = [[r["share"] for r in both if (r["node"] in inside) == kind] for kind in (True, False)]
+    return min((float(np.mean(x)) for x in shares if x), default=1.0)
 
 
 def near_vectors(
@@ -324,8 +352,10 @@ def near_vectors(
     lengths are not. Vectors that are null or empty, all zero, or hold null or
     non-finite components are linked with nothing. ``component_id`` is the smallest id that links lead to. Every link is
     confirmed in double precision; links may be missed. If the audit on ``probes``
-    classes finds less than ``recall`` of their links, the descent is run again with
-    twice the ``neighbours`` and ``orders``, up to ``attempts`` times in all.
+    classes in crowded components and as many others finds less than ``recall`` of a
+    class's links on average, the descent is run again with twice the ``neighbours`` and
+    ``orders``, up to ``attempts`` times in all; if that is not enough, all classes are
+    compared with each other, which misses none.
     """
     vector = F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + F.lit(0.0))
     rows = table_.select(F.col(id_col).alias("id"), vector.alias("vector"))
@@ -336,9 +366,11 @@ def near_vectors(
 
     for attempt in range(attempts):
         k = neighbours << attempt
-        found, counted, _ = _descent(classes, least, k, orders << attempt, most_rounds)
-        if _audited(classes, counted, least, probes) >= recall:
+        found, counted, crowded = _descent(classes, least, k, orders << attempt, most_rounds)
+        if _audited(classes, counted, crowded, least, probes) >= recall:
             break
+    else:
+        found, counted = _compared(classes, found, least)
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of_class = stored(
