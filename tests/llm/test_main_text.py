@@ -30,6 +30,13 @@ def test_what_surrounds_an_article_goes(inside, around):
         assert main_text(html) == f"Title\n{P1}\n{T2}"
 
 
+@pytest.mark.parametrize("wrap", ['<div id=content class="with-sidebar">{}</div>', '<div class="two-column no-sidebar">{}</div>', '<div class="post comments-open">{}</div>', '<form action=/><input>{}</form>', '<form><div class="entry share-enabled">{}</div></form>'])
+@pytest.mark.parametrize("inside", ["<article><h1>Title</h1><p>{0}</p><p>{1}</p><p>{1}</p></article>", "<div><h1>Title</h1><p>{0}</p><p>{1}</p><p>{1}</p></div>"])
+def test_what_holds_the_page_is_no_surrounding(wrap, inside):
+    body = inside.format(P1, P2) + '<div class="sidebar"><p>beside it all, a short text</p></div>'
+    assert main_text(page(wrap.format(body))) == f"Title\n{P1}\n{T2}\n{T2}"
+
+
 def test_blocks_and_broken_markup():
     html = f"<div><p>{P1}<br>after a break<p><b>{P2}</p><ul><li>point <i>one</i><li>point two</ul>loose text<table><tr><td>a<td>b</table></div"
     assert main_text(html).split("\n") == [f"{P1} after a break", T2, "point one", "point two", "loose text", "a", "b"]

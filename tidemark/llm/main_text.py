@@ -4,7 +4,8 @@ A page is read into a tree once, without building objects per element. Paragraph
 get points for their length and commas and pass them to the elements around them, less
 with each level. A container's points are discounted by its share of link text. The
 best container and those of its siblings that look like it are kept; elements that
-are no part of an article by their kind, role or name are left out throughout.
+are no part of an article by their kind or role are left out throughout, and so are forms
+and what bears such a name, unless it holds most of the page's points.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ INLINE = frozenset(
 )
 #: Never part of an article, whatever stands in them.
 DROPPED = frozenset(
-    "script style noscript template nav aside footer form button select textarea input option optgroup "
+    "script style noscript template nav aside footer button select textarea input option optgroup "
     "iframe object embed svg canvas audio video map menu dialog head title fieldset datalist".split()
 )
 DROPPED_ROLES = frozenset(
@@ -54,6 +55,8 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 LEAST_PARAGRAPH = 25
+#: A form, or what is named like surroundings, stays with this share of the page's points.
+MOST = 0.8
 
 
 class _Tree(HTMLParser):
@@ -61,7 +64,7 @@ class _Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.out = ["#page"], [-1], [False]
+        self.tags, self.parents, self.out, self.doubtful = ["#page"], [-1], [False], [False]
         self.texts: list[tuple[int, str | None]] = []
         self.open = [0]
 
@@ -80,6 +83,7 @@ class _Tree(HTMLParser):
         self.tags.append(tag)
         self.parents.append(top)
         self.out.append(self.out[top] or self._outside(tag, dict(attrs), top))
+        self.doubtful.append(tag == "form" or self._named(tag, dict(attrs)))
         if tag not in INLINE:
             self.texts.append((me, None))
         if tag not in VOID:
@@ -105,8 +109,9 @@ class _Tree(HTMLParser):
             return True
         if tag == "header" and not any(self.tags[i] in ("article", "main") for i in self.open):
             return True
-        if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or re.search(r"display\s*:\s*none", attrs.get("style") or "", re.I):
-            return True
+        return "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style") or "", re.I))
+
+    def _named(self, tag, attrs) -> bool:
         if tag in FRAME and not (tag == "article" and self._inside("article")):
             return False
         named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
@@ -132,8 +137,8 @@ class _Tree(HTMLParser):
             self.texts.append((self.open[-1], data))
 
 
-def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
-    """Points, text length and link text length of each element."""
+def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int], list[float]]:
+    """Points, text length and link text length of each element, and what it gives as a paragraph."""
     n = len(tree.tags)
     length, links, commas = [0] * n, [0] * n, [0] * n
     linked = [False] * n
@@ -155,7 +160,7 @@ def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
             commas[p] += commas[i]
         length[p] += length[i]
         links[p] += links[i]
-    points = [0.0] * n
+    points, gains = [0.0] * n, [0.0] * n
     for i in range(1, n):
         # a paragraph, or text that stands in a container itself
         if tree.out[i] or tree.tags[i] in INLINE or own[i] < LEAST_PARAGRAPH:
@@ -164,11 +169,35 @@ def _scores(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
         if not is_paragraph and tree.tags[i] not in CONTAINERS:
             continue
         gain = (1 + commas[i] + min(own[i] / 100, 3)) * (1 - links[i] / max(length[i], 1))
+        gains[i] = gain
         around, level = (tree.parents[i], 1) if is_paragraph else (i, 1)
         while around > 0 and level < 1000:  # further up next to nothing arrives
             points[around] += gain / level
             around, level = tree.parents[around], level * 2 if level < 2 else level * 3
-    return points, length, links
+    return points, length, links, gains
+
+
+def _without_surroundings(tree: _Tree, gains: list[float]) -> bool:
+    """Leaves out each doubtful element that holds less than ``MOST`` of what is left of the page, or stands beside an article; whether there were any."""
+    n, out, held = len(tree.tags), tree.out, list(gains)
+    for i in range(n - 1, 0, -1):
+        held[tree.parents[i]] += held[i]
+    left, dropped = held[0], False
+    in_articles = sum(held[i] for i in range(1, n) if tree.tags[i] in ("article", "main") and not out[i])
+    inside = [0.0] * n  # what the articles in an element, and those around it, hold
+    for i in range(n - 1, 0, -1):
+        inside[i] += held[i] if tree.tags[i] in ("article", "main") and not out[i] else 0
+        inside[tree.parents[i]] += inside[i]
+    around = [0.0] * n
+    for i in range(1, n):
+        p = tree.parents[i]
+        around[i] = around[p] + (held[p] if tree.tags[p] in ("article", "main") and not out[p] else 0)
+        if out[p]:
+            out[i] = True
+        elif tree.doubtful[i] and not out[i] and (not held[i] or held[i] < MOST * left or in_articles - inside[i] - around[i] > 1e-9):
+            out[i] = dropped = True
+            left -= held[i]
+    return dropped
 
 
 def main_text(html: str) -> str:
@@ -177,7 +206,10 @@ def main_text(html: str) -> str:
     tree.feed(re.sub(r"<[/!?a-zA-Z][^<>]*\Z", "", html))  # a tag that the page's end cuts off
     tree.close()
     tree._pop(1)
-    points, length, links = _scores(tree)
+    points, length, links, gains = _scores(tree)
+    if _without_surroundings(tree, gains):
+        tree.texts = [(i, text) for i, text in tree.texts if text is None or not tree.out[i]]
+        points, length, links, _ = _scores(tree)
     n, tags, parents = len(tree.tags), tree.tags, tree.parents
     density = [links[i] / length[i] if length[i] else 0.0 for i in range(n)]
     best, most = 0, 0.0
