@@ -90,3 +90,15 @@ def test_components(spark, links):
     want = {x: r for x, r in root.items() if len(links) > 1}
     got = {r.node: r.component for r in components(frame.withColumn("b", F.col("b"))).collect()}
     assert {x: got.get(x, x) for x in want} == want
+
+
+def test_pairs_from_eighty_percent_on(spark):
+    words = [f"w{i}" for i in range(104)]
+    near, far = list(words), list(words)
+    near[10] = near[60] = "other"  # 90 of 110 shingles
+    far[10] = far[40] = far[70] = "other"  # 85 of 115
+    rows = [(1, " ".join(words), "en", "s", 1), (2, " ".join(near), "en", "s", 1), (3, " ".join(far).replace("w", "v"), "en", "s", 1), (4, " ".join(words).replace("w", "v"), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert (near_dedup.matches(85), near_dedup.matches(80)) == (28, 24)
+    assert {r.doc_id for r in deduplicate_near(docs).collect()} == {1, 2, 3, 4}
+    assert {r.doc_id for r in deduplicate_near(docs, percent=80).collect()} == {1, 3, 4}

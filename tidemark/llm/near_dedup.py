@@ -2,8 +2,8 @@
 
 Documents with the same set of word shingles are one class. A class has a signature
 of ``COORDINATES`` minima and is posted under each (coordinate, value). Two classes
-whose sets agree to the threshold share at least ``MATCHES`` coordinates but for a chance of
-two in a million, and then also one of the rarest COORDINATES - MATCHES + 1 of each: only these
+whose sets agree to the threshold share at least ``matches`` coordinates but for a chance of
+two in a million, and then also one of the rarest COORDINATES - matches + 1 of each: only these
 are joined (prefix), and what no other class has is skipped.
 
 Postings of up to ``SMALL`` classes give all their pairs. Longer ones first give one pair
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,6 @@ from tidemark.llm.components import components
 from tidemark.llm.shingles import run_words, scrambled, shingles
 
 COORDINATES = 48
-MATCHES = 28
 SMALL = 16
 BLOCK = 256
 WIDTH = 5
@@ -37,6 +37,16 @@ _STEP = scrambled(np.arange(1, 2 * COORDINATES + 1, dtype="u8"))
 TIMES, PLUS = _STEP[:COORDINATES] | np.uint64(1), _STEP[COORDINATES:]
 
 
+def matches(percent: int) -> int:
+    """The most coordinates that sets of this similarity share but for a chance below two in a million: 28 at 85, 24 at 80."""
+    p, missed = percent / 100, 0.0
+    for m in range(COORDINATES):
+        missed += comb(COORDINATES, m) * p**m * (1 - p) ** (COORDINATES - m)
+        if missed >= 2e-6:
+            return m
+    return COORDINATES
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
     """``id``, ``text_hash``, ``n_shingles``, ``print`` (a digest of the shingle set, null if empty) and ``minima``."""
 
@@ -71,7 +81,7 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
-def _posted(classes: DataFrame) -> DataFrame:
+def _posted(classes: DataFrame, least: int) -> DataFrame:
     """``node``, ``place``, ``value``, with ``total`` and ``hub`` (the smallest class) of the posting: each class under its rarest coordinates."""
     rows = classes.select("node", F.posexplode("minima").alias("place", "value"))
     postings = stored(
@@ -83,19 +93,19 @@ def _posted(classes: DataFrame) -> DataFrame:
     # what a class shares with none comes first in its order and takes up places of the prefix
     return (
         shared.withColumns({"nth": F.row_number().over(by_rarity), "n": F.count("*").over(all_of_node)})
-        .filter(F.col("nth") + (COORDINATES - F.col("n")) <= COORDINATES - MATCHES + 1)
-        .filter(F.col("n") >= MATCHES)
+        .filter(F.col("nth") + (COORDINATES - F.col("n")) <= COORDINATES - least + 1)
+        .filter(F.col("n") >= least)
         .select("node", "place", "value", "total", "hub")
     )
 
 
 def _matching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose signatures agree in at least ``MATCHES`` places, with their number."""
+    """The pairs whose signatures agree in at least ``matches(percent)`` places, with their number."""
     left = classes.select(F.col("node").alias("a"), F.col("minima").alias("x"), F.col("size").alias("n"))
     right = classes.select(F.col("node").alias("b"), F.col("minima").alias("y"), F.col("size").alias("m"))
     same = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
     fit = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return pairs.join(left, "a").join(right, "b").filter(fit).select("a", "b", same.alias("same")).filter(F.col("same") >= MATCHES)
+    return pairs.join(left, "a").join(right, "b").filter(fit).select("a", "b", same.alias("same")).filter(F.col("same") >= matches(percent))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -205,8 +215,8 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 
 def _classes_and_components(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ``signatures``, and for each class its ``print`` and the ``keeper`` (first row) of its component."""
-    if percent < 85:
-        raise ValueError("signatures are made for 85 percent and more")
+    if percent < 80:
+        raise ValueError("signatures are made for 80 percent and more; 85 is the default")
     rows = stored(signatures(docs, id_col, text_col, width), "signatures")
     classes = rows.filter("print is not null").groupBy("print").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"), F.max("minima").alias("minima"), F.max("n_shingles").alias("size")
@@ -216,7 +226,7 @@ def _classes_and_components(docs: DataFrame, id_col: str, text_col: str, percent
     if not twice.isEmpty():
         raise ValueError("two classes have one number; number them by another hash")
 
-    posted = stored(_posted(classes), "posted")
+    posted = stored(_posted(classes, matches(percent)), "posted")
     short = posted.filter(F.col("total") <= SMALL)
     other = short.select(F.col("node").alias("b"), "place", "value")
     near = short.withColumnRenamed("node", "a").join(other, ["place", "value"]).filter("a < b").select("a", "b")
@@ -257,8 +267,8 @@ def near_duplicates(
 
     Words are runs of characters other than ASCII white space, with A-Z in lower case; a set holds
     the distinct shingles of ``width`` words, or all words as one if there are fewer.
-    Documents are linked when 100 * intersection >= percent * union; 85 is the least
-    ``percent`` that the numbers of coordinates are made for. ``component_id`` is the
+    Documents are linked when 100 * intersection >= percent * union; 80 is the least
+    ``percent`` that the number of coordinates is made for. ``component_id`` is the
     smallest id that links lead to. A text without words, or null, has an empty set and
     is linked with nothing. Rows that repeat an id count as one document if their texts
     agree. A null id is greater than no other: a component's smallest id ignores it.
