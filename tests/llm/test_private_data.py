@@ -83,6 +83,23 @@ def test_surrogates_are_distinct_and_not_real(spark, monkeypatch):
     assert not values & {r.surrogate for r in rows}
 
 
+def test_short_entities_find_free_surrogates(spark):
+    texts = [f"{c}@x.example.com" for c in "abcdef0123456789"]
+    rows = replace_private(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()
+    new = {r.text.split("@")[0] for r in rows}
+    assert len(new) == 16 and not new & set("abcdef0123456789") and len({r.text.split("@")[1] for r in rows}) == 1
+
+
+def test_longer_draws_are_written_whole(spark, monkeypatch):
+    monkeypatch.setattr(private_data, "WIDER", 0)
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    texts = [r.text for r in replace_private(docs, "key").orderBy("doc_id").collect()]
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{5} or \+1 \d{3} \d{3} \d{5};", texts[1])
+    assert texts[3].startswith("password=") and re.search(r"\bAKIA[A-Z0-9]{17}$", texts[3])
+    cards = [re.sub(r"\D", "", c) for c in re.findall(r"\d{4} \d{4} \d{4} \d{5}|\d{17}", texts[2])]
+    assert cards[0] == cards[1] and luhn(cards[0]) and not luhn(cards[2])
+
+
 def test_edges(edge_docs, no_docs):
     same = replace_private(edge_docs, "key")
     assert same.columns == [*edge_docs.columns, "n_replaced"]

@@ -5,7 +5,8 @@ name, a surname). Each distinct entity of the corpus gets one surrogate: a keyed
 of its type and normal form, written in the same alphabet, case and length, names in
 the same script and gender. So the same entity has the same surrogate wherever and
 however it is written. Surrogates that collide with each other or with a real entity
-are drawn again until all are distinct. Mentions are then rewritten in their own format.
+are drawn again until all are distinct; from the attempt ``WIDER`` on surrogates of every
+type grow with each attempt, so that there is always a free one. Mentions are then rewritten in their own format.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SYLLABLES = {
     "greek": ("αλκ βασ γαλ δαν ελπ ζην θαλ ιων καρ λαμ μελ νικ ολυ περ ροδ σαμ τιμ υλα φαν χαρ".split(), {"m": "ος ης ων ας".split(), "f": "α η ια ινα".split(), "x": "ις αξ ηρ υς".split()}),
 }
 
+#: The first attempt in which surrogates are longer than what they stand for.
+WIDER = 6
 _TITLE = "|".join(t for names in TITLES.values() for t in names)
 #: Kinds of mentions in the order in which they are tried.
 PATTERNS = {
@@ -44,6 +47,8 @@ PATTERNS = {
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b(?!\.\d)",
 }
+#: What stays of a secret's mention.
+SECRET_START = r"(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?\"?|AKIA|gh[pousr]_|sk-)?"
 MENTION = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
@@ -71,7 +76,7 @@ def _entities(kind: Column, mention: Column) -> Column:
     first = F.concat(F.lit("first-"), gender, F.lit("-"), _script(words[1]))
     surname = _entity(F.concat(F.lit("surname-"), _script(last)), F.lower(last))
     digits = F.regexp_replace(mention, r"\D", "")
-    code = F.regexp_extract(mention, r"^(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?\"?|AKIA|gh[pousr]_|sk-)?(.*)$", 1)
+    code = F.regexp_extract(mention, rf"^{SECRET_START}(.*)$", 1)
     return (
         F.when(kind == "email", F.array(_entity("email", F.lower(mention)), _entity("domain", F.lower(F.substring_index(mention, "@", -1)))))
         .when((kind == "name") & (F.size(words) > 2), F.array(_entity(first, F.lower(words[1])), surname))
@@ -127,7 +132,7 @@ def _luhn(digits: Column) -> Column:
 
 def _card(value: Column, plain: Column) -> Column:
     """Digits with the first one kept and the last one set so that the check holds if it holds for ``value``."""
-    body = F.concat(F.substring(value, 1, 1), F.substring(plain, 2, 100))
+    body = F.concat(F.substring(value, 1, 1), F.substring(plain, F.lit(2), F.length(plain)))
 
     def settle(x: Column) -> Column:
         front = F.substring(x, F.lit(1), F.length(x) - 1)
@@ -162,31 +167,37 @@ def _surrogate(type_: Column, value: Column, attempt: Column, key: str) -> Colum
     number = _stream(key, type_, value, attempt)
     domain = F.substring_index(value, "@", -1)
     country = F.greatest(F.length(value) - 10, F.lit(0))
-    plain = _letters(value, number)
+    # letters or digits behind the draw, one more with each attempt
+    longer = F.sequence(F.lit(1), F.greatest(attempt - WIDER + 1, F.lit(0)))
+    longer = F.when(attempt < WIDER, F.array().cast("array<int>")).otherwise(longer)
+    letters = F.array_join(F.transform(longer, lambda i: _pick(F.split(F.lit(ALPHABETS["latin"]), ""), number(i + 1000))), "")
+    digits = F.array_join(F.transform(longer, lambda i: F.pmod(number(i + 1000), F.lit(10)).cast("string")), "")
+    plain = F.concat(_letters(value, number), digits)
     octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (F.pmod(number(i), F.lit(254)) + 1).cast("string"))
     return (
-        F.when(type_ == "email", F.concat(_letters(F.substring_index(value, "@", 1), number), F.lit("@"), domain))
-        .when(type_ == "domain", F.concat(_letters(F.regexp_replace(value, r"\.[^.]*$", ""), number), F.lit("."), F.substring_index(value, ".", -1)))
-        .when(type_ == "ip", F.array_join(octets, "."))
+        F.when(type_ == "email", F.concat(_letters(F.substring_index(value, "@", 1), number), letters, F.lit("@"), domain))
+        .when(type_ == "domain", F.concat(_letters(F.regexp_replace(value, r"\.[^.]*$", ""), number), letters, F.lit("."), F.substring_index(value, ".", -1)))
+        .when(type_ == "ip", F.concat_ws(".", octets, F.transform(longer, lambda i: F.pmod(number(i + 1000), F.lit(254)).cast("string"))))
         .when(type_ == "card", _card(value, plain))
-        .when(type_ == "phone", F.concat(F.substring(value, F.lit(1), country), F.substring(plain, country + 1, F.length(value))))
-        .when(type_ == "iban", F.concat(F.substring(value, 1, 2), F.substring(plain, 3, 100)))
+        .when(type_ == "phone", F.concat(F.substring(value, F.lit(1), country), F.substring(plain, country + 1, F.length(plain))))
+        .when(type_ == "iban", F.concat(F.substring(value, 1, 2), F.substring(plain, F.lit(3), F.length(plain))))
         .when(type_.startswith("first") | type_.startswith("surname"), _name(type_, number, attempt))
         .otherwise(plain)
     )
 
 
-def surrogates(entities: DataFrame, key: str, attempts: int = 40) -> DataFrame:
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``type``, ``value`` and ``surrogate`` for each distinct entity (``type``, ``value``).
 
     Of entities that draw the same surrogate the first by value keeps it, the others
-    draw again, and so do those whose surrogate is a real entity.
+    draw again, and so do those whose surrogate is a real entity. From the attempt ``WIDER``
+    on each draw is longer than the one before (in an IP address by a number), so this ends.
     """
     entities = stored(entities.select("type", "value").distinct(), "entities")
     real = entities.select("type", F.col("value").alias("surrogate"))
     settled, open_ = None, entities.withColumn("attempt", F.lit(0))
     rank = Window.partitionBy("type", "surrogate").orderBy("attempt", "value")
-    for _ in range(attempts):
+    while True:
         drawn = open_.withColumn("surrogate", _surrogate(F.col("type"), F.col("value"), F.col("attempt"), key))
         drawn = drawn.join(real.withColumn("real", F.lit(True)), ["type", "surrogate"], "left")
         both = drawn.select("type", "value", "attempt", "surrogate", "real")
@@ -197,7 +208,6 @@ def surrogates(entities: DataFrame, key: str, attempts: int = 40) -> DataFrame:
         open_ = both.filter("not good").select("type", "value", (F.col("attempt") + 1).alias("attempt"))
         if open_.isEmpty():
             return settled
-    raise ValueError(f"no distinct surrogates after {attempts} attempts")
 
 
 def _written(kind: Column, mention: Column, parts: Column) -> Column:
@@ -215,13 +225,13 @@ def _written(kind: Column, mention: Column, parts: Column) -> Column:
         lambda s, c: F.when(
             c.rlike("[A-Za-z0-9]"), F.struct(F.concat(s["out"], F.substring(first, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))),
-        lambda s: s["out"],
+        lambda s: F.concat(s["out"], F.substring(first, s["at"], F.length(first))),  # what a longer surrogate has more stands last
     )
     return (
         F.when(kind == "email", F.when(mention == F.upper(mention), F.upper(email)).otherwise(email))
         .when((kind == "name") & (F.size(words) > 2), F.concat_ws(" ", words[0], cased(first, words[1]), cased(parts[1], words[2])))
         .when(kind == "name", F.concat_ws(" ", words[0], cased(first, words[1])))
-        .when(kind == "secret", F.concat(F.substring(mention, F.lit(1), F.length(mention) - F.length(first)), first))
+        .when(kind == "secret", F.concat(F.regexp_extract(mention, rf"^{SECRET_START}", 0), first))
         .when(kind == "ip", first)
         .otherwise(slots)
     )
