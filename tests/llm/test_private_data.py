@@ -100,6 +100,22 @@ def test_longer_draws_are_written_whole(spark, monkeypatch):
     assert cards[0] == cards[1] and luhn(cards[0]) and not luhn(cards[2])
 
 
+def test_long_names_and_later_mentions(spark):
+    text = "Dr Anna Maria von Schmidt spoke. Schmidt said so; Anna's SCHMIDT, Schmidts and schmidt. Dr John F. O'Neil-Kerr, O'Neil-Kerr."
+    row = replace_private(spark.createDataFrame([(1, text), (2, "Schmidt alone")], "doc_id long, text string"), "key").orderBy("doc_id").collect()
+    m = re.fullmatch(r"Dr (\w+) (\w+) von (\w+) spoke\. (\w+) said so; (\w+)'s (\w+), Schmidts and schmidt\. Dr (\w+) F\. (\w+), (\w+)\.", row[0].text)
+    assert m and not set(m.groups()) & {"Anna", "Maria", "Schmidt", "SCHMIDT", "John"}
+    assert m[3] == m[4] == m[6].capitalize() and m[1] == m[5] and m[8] == m[9] and row[0].n_replaced == 6
+    assert row[1].text == "Schmidt alone"
+
+
+def test_ipv6_and_national_phones(spark):
+    text = "2001:db8::8a2e:370:7334, 2001:0DB8:0:0:0:8a2e:0370:7334; 030 1234567, (030) 1234567, 01 23 45 67 89, 988 555 2485, std::vector 12:30:45 01-02-2021"
+    new = replace_private(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key").first().text
+    m = re.fullmatch(r"(2001(?::[0-9a-f]{4}){7}), (\S+); (\d{3} \d{7}), \((\d{3})\) (\d{7}), (\d\d(?: \d\d){4}), (\d{3} \d{3} \d{4}), std::vector 12:30:45 01-02-2021", new)
+    assert m and m[1] == m[2] and m[3] == f"{m[4]} {m[5]}" != "030 1234567" and m[6] != "01 23 45 67 89" and m[7] != "988 555 2485"
+
+
 def test_edges(edge_docs, no_docs):
     same = replace_private(edge_docs, "key")
     assert same.columns == [*edge_docs.columns, "n_replaced"]

@@ -36,15 +36,23 @@ SYLLABLES = {
 #: The first attempt in which surrogates are longer than what they stand for.
 WIDER = 6
 _TITLE = "|".join(t for names in TITLES.values() for t in names)
+#: A word of a name, and what may stand between two of them.
+NAME_WORD = r"\p{Lu}(?:\p{L}+(?:['-]\p{L}{2,})*|(?:['-]\p{L}{2,})+)"
+_PARTICLE = "von|van|vom|zu|zur|zum|der|den|de|del|della|di|da|do|dos|das|du|la|le|ten|ter|el|al|bin|ibn|y|e"
+#: The words of a name in a text without titles, at word edges.
+ALONE = rf"(?<![\p{{L}}\p{{N}}_]){NAME_WORD}"
 #: Kinds of mentions in the order in which they are tried.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?\"?[A-Za-z0-9+/_\-]{8,}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9_-]{20,}",
-    "name": rf"\b(?:{_TITLE})\.?\x20\p{{Lu}}[\p{{L}}'-]+(?:\x20\p{{Lu}}[\p{{L}}'-]+)?",
+    "name": rf"\b(?:{_TITLE})\.?(?:\x20(?:{_PARTICLE}))*\x20{NAME_WORD}(?:(?:\x20(?:(?:{_PARTICLE})|\p{{Lu}}\.))*\x20{NAME_WORD})*",
     "iban": r"\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
-    "phone": r"(?<![\w.])\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{2,4}(?:[\x20.-]?\d{2,4}){1,4}\b|(?<![\w.])\(\d{3}\)\x20?\d{3}-\d{4}\b|\b\d{3}[-.]\d{3}[-.]\d{4}\b",
+    "phone": r"(?<![\w.])\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{2,4}(?:[\x20.-]?\d{2,4}){1,4}\b|(?<![\w.])\(\d{3}\)\x20?\d{3}-\d{4}\b|\b\d{3}[-.]\d{3}[-.]\d{4}\b"
+    # national forms: 030 1234567, 0171/123 4567, (030) 1234567, 01 23 45 67 89, 988 555 2485
+    r"|(?<![\w.+/-])(?=0(?:[\x20/-]?\d){8})0\d{1,4}[\x20/-]\d{3,8}(?:[\x20-]\d{2,4}){0,3}\b|\(0\d{1,4}\)\x20?\d{3,8}(?:[\x20-]\d{2,4}){0,3}\b|(?<![\w.+-])0\d(?:[\x20.]\d{2}){4}\b|(?<![\w.+-])[2-9]\d{2}\x20[2-9]\d{2}\x20\d{4}\b",
     "card": r"(?<![\w.+-])[3-6]\d{3}(?:[\x20-]?\d){8,14}\d\b(?![.-]\d)",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
+    "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*\d)[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\w:])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b(?!\.\d)",
 }
 #: What stays of a secret's mention.
@@ -72,18 +80,23 @@ def _entities(kind: Column, mention: Column) -> Column:
     words = F.split(mention, r"\x20", -1)
     title = F.regexp_replace(words[0], r"\.$", "")
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("x")
-    last = F.element_at(words, -1)
-    first = F.concat(F.lit("first-"), gender, F.lit("-"), _script(words[1]))
+    named = F.filter(F.slice(words, 2, 1000), lambda w: w.rlike(f"^{NAME_WORD}$"))
+    last = F.element_at(named, -1)
+    firsts = F.transform(F.slice(named, 1, F.greatest(F.size(named) - 1, F.lit(0))), lambda w: _entity(F.concat(F.lit("first-"), gender, F.lit("-"), _script(w)), F.lower(w)))
     surname = _entity(F.concat(F.lit("surname-"), _script(last)), F.lower(last))
     digits = F.regexp_replace(mention, r"\D", "")
+    halves = F.split(F.lower(mention), "::", -1)
+    groups = [F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "") for i in (0, 1)]
+    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(groups[0]) - F.size(groups[1]), F.lit(0)))
+    ipv6 = F.array_join(F.transform(F.concat(groups[0], zeros, groups[1]), lambda g: F.lpad(g, 4, "0")), ":")
     code = F.regexp_extract(mention, rf"^{SECRET_START}(.*)$", 1)
     return (
         F.when(kind == "email", F.array(_entity("email", F.lower(mention)), _entity("domain", F.lower(F.substring_index(mention, "@", -1)))))
-        .when((kind == "name") & (F.size(words) > 2), F.array(_entity(first, F.lower(words[1])), surname))
-        .when(kind == "name", F.array(surname))
+        .when(kind == "name", F.concat(firsts, F.array(surname)))
         .when(kind == "secret", F.array(_entity("secret", code)))
         .when(kind == "iban", F.array(_entity("iban", F.regexp_replace(mention, r"\x20", ""))))
         .when(kind == "ip", F.array(_entity("ip", mention)))
+        .when(kind == "ipv6", F.array(_entity("ipv6", ipv6)))
         .otherwise(F.array(_entity(kind, digits)))
     )
 
@@ -178,6 +191,7 @@ def _surrogate(type_: Column, value: Column, attempt: Column, key: str) -> Colum
         F.when(type_ == "email", F.concat(_letters(F.substring_index(value, "@", 1), number), letters, F.lit("@"), domain))
         .when(type_ == "domain", F.concat(_letters(F.regexp_replace(value, r"\.[^.]*$", ""), number), letters, F.lit("."), F.substring_index(value, ".", -1)))
         .when(type_ == "ip", F.concat_ws(".", octets, F.transform(longer, lambda i: F.pmod(number(i + 1000), F.lit(254)).cast("string"))))
+        .when(type_ == "ipv6", F.concat_ws(":", F.lit("2001"), F.transform(F.sequence(F.lit(1), F.lit(7)), lambda i: F.lpad(F.lower(F.hex(F.pmod(number(i), F.lit(65536)))), 4, "0"))))
         .when(type_ == "card", _card(value, plain))
         .when(type_ == "phone", F.concat(F.substring(value, F.lit(1), country), F.substring(plain, country + 1, F.length(plain))))
         .when(type_ == "iban", F.concat(F.substring(value, 1, 2), F.substring(plain, F.lit(3), F.length(plain))))
@@ -210,14 +224,23 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
             return settled
 
 
+def cased(name: Column, like: Column) -> Column:
+    return F.when(like == F.upper(like), F.upper(name)).otherwise(F.initcap(name))
+
+
 def _written(kind: Column, mention: Column, parts: Column) -> Column:
     """The surrogates of a mention's entities in the format of the mention."""
     first = parts[0]
     words = F.split(mention, r"\x20", -1)
 
-    def cased(name: Column, like: Column) -> Column:
-        return F.when(like == F.upper(like), F.upper(name)).otherwise(F.initcap(name))
-
+    name = F.aggregate(
+        F.slice(words, 2, 1000),
+        F.struct(words[0].alias("out"), F.lit(1).alias("at")),
+        lambda s, w: F.when(
+            w.rlike(f"^{NAME_WORD}$"), F.struct(F.concat_ws(" ", s["out"], cased(F.get(parts, s["at"] - 1), w)).alias("out"), (s["at"] + 1).alias("at"))
+        ).otherwise(F.struct(F.concat_ws(" ", s["out"], w).alias("out"), s["at"].alias("at"))),
+        lambda s: s["out"],
+    )
     email = F.concat(F.substring_index(first, "@", 1), F.lit("@"), parts[1])
     slots = F.aggregate(
         F.split(mention, ""),
@@ -229,10 +252,9 @@ def _written(kind: Column, mention: Column, parts: Column) -> Column:
     )
     return (
         F.when(kind == "email", F.when(mention == F.upper(mention), F.upper(email)).otherwise(email))
-        .when((kind == "name") & (F.size(words) > 2), F.concat_ws(" ", words[0], cased(first, words[1]), cased(parts[1], words[2])))
-        .when(kind == "name", F.concat_ws(" ", words[0], cased(first, words[1])))
+        .when(kind == "name", name)
         .when(kind == "secret", F.concat(F.regexp_extract(mention, rf"^{SECRET_START}", 0), first))
-        .when(kind == "ip", first)
+        .when(kind.isin("ip", "ipv6"), first)
         .otherwise(slots)
     )
 
@@ -264,10 +286,26 @@ def replace_private(docs: DataFrame, key: str, id_col: str = "doc_id", text_col:
         .groupBy("i", "h")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda p: p["new"]).alias("__new"))
     )
-    between = F.split(F.col(text_col), MENTION, -1)
+    # the names found behind titles, wherever else they stand in their document; a surname before a first name
+    known = (
+        single.filter("kind = 'name'").join(names, ["type", "value"]).groupBy("i", "h", "value").agg(F.max_by("surrogate", "type").alias("surrogate"))
+        .groupBy("i", "h").agg(F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("__names"))
+    )
+    rewritten = rewritten.join(known.select(F.col("i").alias("ki"), F.col("h").alias("kh"), "__names"), F.col("i").eqNullSafe(F.col("ki")) & (F.col("h") == F.col("kh")), "left").select("i", "h", "__new", "__names")
+
+    def renamed(segment: Column) -> Column:
+        words = F.transform(F.regexp_extract_all(segment, F.lit(ALONE), F.lit(0)), lambda w: F.coalesce(cased(F.try_element_at(F.col("__names"), F.lower(w)), w), w))
+        return F.when(F.col("__names").isNull(), segment).otherwise(F.array_join(F.zip_with(F.split(segment, ALONE, -1), words, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""))
+
+    def later(segment: Column) -> Column:
+        return F.size(F.filter(F.regexp_extract_all(segment, F.lit(ALONE), F.lit(0)), lambda w: F.try_element_at(F.col("__names"), F.lower(w)).isNotNull()))
+
+    plain = F.split(F.col(text_col), MENTION, -1)
+    between = F.transform(plain, renamed)
+    more = F.when(F.col("__names").isNull(), 0).otherwise(F.aggregate(plain, F.lit(0), lambda n, x: n + later(x)))
     text = F.array_join(F.zip_with(between, "__new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = hit.join(rewritten, F.col(id_col).eqNullSafe(F.col("i")) & (F.xxhash64(text_col) == F.col("h")))
-    changed = changed.withColumn("n_replaced", F.size("__new").cast("long")).withColumn(text_col, text).select(*columns, "n_replaced")
+    changed = changed.withColumn("n_replaced", (F.size("__new") + more).cast("long")).withColumn(text_col, text).select(*columns, "n_replaced")
     return changed.union(docs.filter(~found).select(*columns, F.lit(0).cast("long").alias("n_replaced")))
 
 
