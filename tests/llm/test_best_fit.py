@@ -84,7 +84,7 @@ def test_every_piece_has_a_place_of_its_own(spark, shards):
     placed = got.collect()
     assert sorted((r.doc_id, r.length) for r in placed) == sorted((i // 2, n) for i, n in enumerate(lengths))
     n = check([(r.length, r.sequence_id, r.offset) for r in placed], 100)
-    assert n <= best_fit_decreasing(lengths, 100) + shards - 1  # at most a sequence lost per border between shards
+    assert n <= best_fit_decreasing(lengths, 100) * (1 if shards == 1 else 1.02)  # tiny shards lose a little
 
 
 def test_documents_as_by_hand(spark, library):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import best_fit, embedding_dedup, exact_dedup, fill_middle, language_id, main_text, mixing, near_dedup, pieces, private_data, quality, repeats
+from tidemark.llm import best_fit, embedding_dedup, exact_dedup, fill_middle, language_id, main_text, mixing, near_dedup, phrases, pieces, private_data, quality, repeats
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_near_vectors": embedding_dedup.op10_near_vectors,
         "op11_best_fit": best_fit.op11_best_fit,
+        "op12_collocations": phrases.op12_collocations,
         "op13_fill_middle": fill_middle.op13_fill_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**exact_dedup.SQL, **fill_middle.SQL}
+    return {**exact_dedup.SQL, **fill_middle.SQL, **phrases.SQL}
