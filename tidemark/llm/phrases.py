@@ -391,14 +391,14 @@ SQL = {
             FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
             GROUP BY ALL HAVING count(*) >= 100
         ), cuts AS (
-            SELECT g.lang, g.phrase, g.k, c.at, g.f AS a, l.f AS l, r.f AS r, s.n,
+            SELECT g.lang, g.phrase, g.k, c.cut_at, g.f AS a, l.f AS l, r.f AS r, s.n,
                    CAST(CAST(1000 AS HUGEINT) * g.f * s.n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
-            FROM grams g, (SELECT unnest(range(1, 5)) AS at) c, grams l, grams r, sizes s
-            WHERE g.k > 1 AND c.at < g.k AND l.lang = g.lang AND r.lang = g.lang AND s.lang = g.lang AND l.k = c.at
-              AND l.phrase = array_to_string(string_split(g.phrase, ' ')[:c.at], ' ')
-              AND r.phrase = array_to_string(string_split(g.phrase, ' ')[c.at + 1:], ' ')
+            FROM grams g, (SELECT unnest(range(1, 5)) AS cut_at) c, grams l, grams r, sizes s
+            WHERE g.k > 1 AND c.cut_at < g.k AND l.lang = g.lang AND r.lang = g.lang AND s.lang = g.lang AND l.k = c.cut_at
+              AND l.phrase = array_to_string(string_split(g.phrase, ' ')[:c.cut_at], ' ')
+              AND r.phrase = array_to_string(string_split(g.phrase, ' ')[c.cut_at + 1:], ' ')
         ), best AS (
-            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
         ), outer_ones AS (
             SELECT * FROM best b WHERE NOT EXISTS (
                 SELECT 1 FROM best o WHERE o.lang = b.lang AND o.k > b.k AND 100 * o.a >= 100 * b.a
