@@ -16,6 +16,8 @@ those of other shards, until one shard is left.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,22 +39,75 @@ class Encoder:
     """Ids of whole texts, as packed unsigned 32-bit integers, by way of the chunks between ASCII white space.
 
     The tokenizer sees white space only as a border, so a text's ids are those of its
-    chunks, one after the other. Short chunks are remembered, at most ``most_chunks``.
+    chunks, one after the other; so is the border between an ASCII letter or digit and
+    closing punctuation. Short chunks are remembered in two generations of at most
+    ``most_chunks``: what is met again passes from the old one to the new.
     """
 
-    def __init__(self, model: bytes, most_chunks: int = 1 << 20) -> None:
+    LONGEST = 40
+    #: Lower-case letters that normalisation leaves as one letter: chunks of them are one word each.
+    PLAIN = re.compile("[a-zß-öø-įı-ɏ]+")
+
+    def __init__(self, model: bytes, most_chunks: int = 3 << 18) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(model)
         self.most_chunks = most_chunks
         self.seen: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         # lower-casing ASCII first gives fewer chunks; special tokens are found before that
         marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lower = self._ids(["A b", "İ"]) == self._ids(["a b", "İ"])
-        self.marks = [m.encode()[:2] for m in marks]
+        self.marks = {m.encode()[:2] for m in marks}
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for word, i in vocabulary.items() if word.endswith(suffix)]] = True
+
+    def _words(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that are one word each: many at a time, parted where a word ends."""
+        texts = [" ".join(chunks[i : i + 1024]) for i in range(0, len(chunks), 1024)]
+        ids = np.frombuffer(b"".join(self._ids(texts)), "<u4")
+        edges = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        if len(edges) != len(chunks) + 1 or edges[-1] != 4 * len(ids):
+            return self._ids(chunks)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Remembers the chunks; gives back those too long to be remembered."""
+        seen, old = self.seen, self.old
+        wanted, joined, long = set(), [], {}
+        for chunk in chunks:
+            if chunk in old:
+                seen[chunk] = old[chunk]
+                continue
+            core = chunk.rstrip(b".,;:!?")
+            if core and len(core) < len(chunk) and core[-1:].isalnum():
+                parts = (core, chunk[len(core) :])
+                joined.append((chunk, parts))
+                for part in parts:
+                    if part in old:
+                        seen[part] = old[part]
+                    elif part not in seen:
+                        wanted.add(part)
+            else:
+                wanted.add(chunk)
+        plain, other = [], []
+        for chunk in wanted:
+            (plain if self.PLAIN.fullmatch(text := chunk.decode()) else other).append(text)
+        for texts, ids_of in ((plain, self._words), (other, self._ids)):
+            for i in range(0, len(texts), 1 << 15):
+                part = texts[i : i + (1 << 15)]
+                for chunk, ids in zip(part, ids_of(part), strict=True):
+                    (seen if len(chunk) <= self.LONGEST else long)[chunk.encode()] = ids
+        for chunk, (core, tail) in joined:
+            (seen if len(chunk) <= self.LONGEST else long)[chunk] = (seen.get(core) or long[core]) + (seen.get(tail) or long[tail])
+        return long
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         chunks = []
@@ -62,16 +117,14 @@ class Encoder:
                 data = data.lower()
             chunks.append(data.split())
         if len(self.seen) > self.most_chunks:
-            self.seen = {}
-        new = list(set().union(*chunks).difference(self.seen))
-        found = {}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found.update(zip(part, self._ids([c.decode() for c in part]), strict=True))
-        self.seen.update((c, ids) for c, ids in found.items() if len(c) <= 40)
-        look = self.seen if all(len(c) <= 40 for c in found) else {**self.seen, **found}
+            self.seen, self.old = {}, self.seen
+        long = self._learn(set().union(*chunks).difference(self.seen))
+        seen = self.seen
         for own in chunks:
-            yield b"".join(map(look.__getitem__, own))
+            if long:
+                yield b"".join([seen[c] if c in seen else long[c] for c in own])
+            else:
+                yield b"".join(map(seen.__getitem__, own))
 
 
 @lru_cache(maxsize=1)
