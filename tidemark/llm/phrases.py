@@ -7,14 +7,16 @@ the trie holds too much, its largest subtrees are written out whole, as runs sor
 word id, and taken off; Spark deals the runs out by language and the first three words
 and merges them there. So a task's memory is bounded, however many phrases there are.
 
-Word ids are the task's own. Longer phrases are counted only where all their words, and
-then all their pairs, are frequent, for no phrase is more frequent than a part of it.
-Tasks know the frequent ones by a bit map of fixed size: a wrongly set bit costs a
-little work and changes no count.
+Word ids are the task's own. Phrases are counted only where all their words and all
+their pairs of words are frequent, for no phrase is more frequent than a part of it.
+Tasks know those by bit maps of bounded size: that of the words is made of their counts,
+that of the pairs of slots that a pair is hashed to and that are counted beforehand. A
+wrongly set bit costs a little work and changes no count.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -24,11 +26,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, table, text_runs
+from tidemark.llm.shingles import scrambled
 
 #: A container of more entries bursts; a trie of more entries writes out its largest subtrees; rows of a run at once.
 BURST, MOST_ENTRIES, BATCH = 1 << 12, 1 << 19, 1 << 15
-#: Bits of the map of frequent phrases: sixteen for each, within these bounds (2 to 128 MB).
+#: With more languages in a task, all is written out and counting begins anew.
+MOST_LANGUAGES = 64
+#: Bits of the map of frequent words: sixteen for each, within these bounds (2 to 128 MB).
 LEAST_BITS, MOST_BITS = 1 << 24, 1 << 30
+#: Slots that pairs of words are hashed to (an 8 MB map), and how many of them travel together.
+PAIR_SLOTS, SLOT_ROW = 1 << 26, 1 << 16
+#: Pairs whose slots a task holds before they are written out.
+MOST_PAIRS = 1 << 22
 #: Bits that Spark packs into one row of a bit map.
 ROW_BITS = 1 << 15
 
@@ -115,46 +124,62 @@ def _walk(prefix: bytes, node: dict | int) -> Iterator[tuple[bytes, int]]:
 
 
 class _Words(dict):
-    """Ids of words from 1 on; 0 for cuts and for words that are not frequent, which are not remembered."""
+    """Ids of words from 1 on; 0 for cuts and for words that are not frequent."""
 
-    def __init__(self, frequent: np.ndarray | None, lang: bytes) -> None:
+    def __init__(self, frequent: bytes | None, lang: bytes, most: int) -> None:
         super().__init__({_CUT: 0})
-        self.frequent, self.lang = frequent, lang
+        self.frequent, self.most = frequent, most
+        self.seed = crc32(lang + b"\xff")
         self.spelled: list[bytes] = [b""]
+        self.hashes = array("I", [0])
 
     def __missing__(self, word: bytes) -> int:
-        if self.frequent is not None and not _is_set(self.frequent, self.lang + b"\xff" + word):
-            return 0
+        own = crc32(word, self.seed)
+        if self.frequent is not None:
+            at = own & (len(self.frequent) * 8 - 1)
+            if not self.frequent[at >> 3] >> (at & 7) & 1:
+                if len(self) < self.most:
+                    self[word] = 0
+                return 0
         self.spelled.append(word)
+        self.hashes.append(own)
         self[word] = len(self.spelled) - 1
         return self[word]
 
+    def ids(self, texts: list[str]) -> np.ndarray:
+        """The words of the texts; a cut stands between pieces and behind each text."""
+        tokens: list[bytes] = []
+        for text in texts:
+            tokens += text.encode().lower().translate(_MAP).replace(_CUT, b" \xff ").split()
+            tokens.append(_CUT)
+        self.total = len(tokens) - tokens.count(_CUT)
+        return np.fromiter(map(self.__getitem__, tokens), "i8", len(tokens))
 
-def _is_set(bits: np.ndarray, key: bytes) -> bool:
-    at = crc32(key) & (len(bits) * 8 - 1)
-    return bool(bits[at >> 3] >> (at & 7) & 1)
+    def pair_slots(self, ids: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where pairs of frequent words begin, and the slot of each."""
+        both = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        own = np.array(self.hashes, "u8")
+        keys = own[ids[both]] << np.uint64(32) | own[ids[both + 1]]
+        return both, scrambled(keys) & np.uint64(slots - 1)
 
 
 class Counter:
     """The phrases of one language in one task, of ``widths`` words."""
 
-    def __init__(self, lang: str, widths: range, words: np.ndarray | None, pairs: np.ndarray | None, most: int) -> None:
+    def __init__(self, lang: str, widths: range, words: bytes | None, pairs: np.ndarray | None, most: int) -> None:
         self.lang, self.widths, self.pairs, self.most = lang, widths, pairs, most
-        self.words = _Words(words, lang.encode())
+        self.words = _Words(words, lang.encode(), 2 * most)
         self.tries = {width: HatTrie() for width in widths}
-        self.known_pairs: dict[int, bool] = {}
         self.total = 0
 
     def count(self, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        tokens: list[bytes] = []
-        for text in texts:
-            tokens += text.encode().lower().translate(_MAP).replace(_CUT, b" \xff ").split()
-            tokens.append(_CUT)
-        ids = np.fromiter(map(self.words.__getitem__, tokens), "i8", len(tokens))
-        self.total += len(tokens) - tokens.count(_CUT)
+        ids = self.words.ids(texts)
+        self.total += self.words.total
         good = ids > 0
         if self.pairs is not None:
-            good = self._pairs(ids, good)
+            both, slots = self.words.pair_slots(ids, 8 * len(self.pairs))
+            good = np.zeros(max(len(ids) - 1, 0), bool)
+            good[both] = self.pairs[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype("u1") & 1
         for width in self.widths:
             reach = width - (self.pairs is not None)  # a phrase is a chain of words, or of pairs
             starts = good[: len(good) - reach + 1].copy() if len(good) >= reach else np.zeros(0, bool)
@@ -164,24 +189,9 @@ class Counter:
             if len(at):
                 rows = np.stack([ids[at + k] for k in range(width)], axis=1).astype(">u4")
                 self.tries[width].add(*_distinct(rows))
-        if sum(t.entries for t in self.tries.values()) > self.most or len(self.words) > self.most:
+        if sum(t.entries for t in self.tries.values()) > self.most or len(self.words.spelled) > self.most:
             # with too many words, all is written out and ids begin anew
-            yield from self.spill(0 if len(self.words) > self.most else self.most // 2)
-
-    def _pairs(self, ids: np.ndarray, good: np.ndarray) -> np.ndarray:
-        """Where pairs of words begin that are frequent."""
-        both = np.flatnonzero(good[:-1] & good[1:])
-        keys, back = np.unique(ids[both] << 32 | ids[both + 1], return_inverse=True)
-        if len(self.known_pairs) > self.most:
-            self.known_pairs = {}
-        known, spelled, lang = self.known_pairs, self.words.spelled, self.lang.encode() + b"\xff"
-        for key in keys.tolist():
-            if key not in known:
-                known[key] = _is_set(self.pairs, lang + spelled[key >> 32] + b" " + spelled[key & 0xFFFFFFFF])
-        frequent = np.fromiter(map(known.__getitem__, keys.tolist()), bool, len(keys))
-        out = np.zeros(len(ids), bool)
-        out[both] = frequent[back]
-        return out[:-1] if len(out) else out
+            yield from self.spill(0 if len(self.words.spelled) > self.most else self.most // 2)
 
     def spill(self, most: int) -> Iterator[pa.RecordBatch]:
         spelled = [w.decode() for w in self.words.spelled]
@@ -199,16 +209,15 @@ class Counter:
                 yield self._spelled(width, keys, counts, spelled)
         if not most:
             if self.widths[0] == 1:
-                yield _run([self.lang], [0], [""], [self.total])
+                yield _run(self.lang, [""], [self.total])
             self.total = 0
-            self.words = _Words(self.words.frequent, self.lang.encode())
-            self.known_pairs = {}
+            self.words = _Words(self.words.frequent, self.lang.encode(), 2 * self.most)
 
     def _spelled(self, width: int, keys: list[bytes], counts: list[int], spelled: list[str]) -> pa.RecordBatch:
         ids = np.frombuffer(b"".join(keys), ">u4").reshape(-1, width)
         columns = [[spelled[i] for i in ids[:, k].tolist()] for k in range(width)]
         texts = list(map(" ".join, zip(*columns, strict=True))) if width > 1 else columns[0]
-        return _run([self.lang] * len(keys), [width] * len(keys), texts, counts)
+        return _run(self.lang, texts, counts)
 
 
 def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,52 +233,119 @@ def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return wide[edges], np.diff(np.append(edges, len(wide)))
 
 
-def _run(langs: list[str], widths: list[int], texts: list[str], counts: list[int]) -> pa.RecordBatch:
-    columns = [pa.array(langs, pa.string()), pa.array(widths, pa.int32()), pa.array(texts, pa.string()), pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "width", "phrase", "n"])
+def _run(lang: str, phrases: list[str], counts: list[int]) -> pa.RecordBatch:
+    # one column for language and phrase, parted by a line end, which no phrase holds: rows that are dealt out are small
+    columns = [pa.array([f"{lang}\n{p}" for p in phrases], pa.string()), pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "n"])
+
+
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """The texts of a run of rows, one language after the other."""
+    for batch in batches:
+        for lo, hi in text_runs(batch.column(1)):
+            by_lang: dict[str, list[str]] = {}
+            for lang, text in zip(batch.column(0)[lo:hi].to_pylist(), batch.column(1)[lo:hi].to_pylist(), strict=True):
+                if text:
+                    by_lang.setdefault(lang, []).append(text)
+            yield from by_lang.items()
+
+
+def _rows(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
 
 
 def phrase_counts(docs: DataFrame, widths: range, lang_col: str = "lang", text_col: str = "text", words=None, pairs=None, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """``lang``, ``width``, ``phrase`` and ``n``: how often each phrase of ``widths`` words stands in the texts.
 
-    ``words`` and ``pairs`` are broadcast bit maps of ``frequent_bits``: phrases with a
-    word or a pair of words that is not set are left out. With words among the widths,
-    an empty phrase of width 0 has the number of all words. A null language is ``und``, a
-    null text has no words. Repeated rows count each; other columns are ignored.
+    ``words`` and ``pairs`` are broadcast bit maps (``frequent_bits``, ``pair_bits``):
+    phrases with a word or a pair of words that is not set are left out. With words
+    among the widths, an empty phrase of width 0 has the number of all words. A null
+    language is ``und``, a null text has no words. Repeated rows count each; other
+    columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [None if b is None else np.frombuffer(b.value, "u1") for b in (words, pairs)]
+        word_map = None if words is None else words.value
+        pair_map = None if pairs is None else np.frombuffer(pairs.value, "u1")
         counters: dict[str, Counter] = {}
-        for batch in batches:
-            for lo, hi in text_runs(batch.column(1)):
-                by_lang: dict[str, list[str]] = {}
-                for lang, text in zip(batch.column(0)[lo:hi].to_pylist(), batch.column(1)[lo:hi].to_pylist(), strict=True):
-                    if text:
-                        by_lang.setdefault(lang, []).append(text)
-                for lang, texts in by_lang.items():
-                    if lang not in counters:
-                        if len(counters) >= 64:  # with very many languages, write out all
-                            for other in counters.values():
-                                yield from other.spill(0)
-                            counters = {}
-                        counters[lang] = Counter(lang, widths, *maps, most_entries)
-                    yield from counters[lang].count(texts)
+        for lang, texts in _by_lang(batches):
+            if lang not in counters:
+                if len(counters) >= MOST_LANGUAGES:
+                    for other in counters.values():
+                        yield from other.spill(0)
+                    counters = {}
+                counters[lang] = Counter(lang, widths, word_map, pair_map, most_entries)
+            yield from counters[lang].count(texts)
         for counter in counters.values():
             yield from counter.spill(0)
 
-    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    runs = rows.mapInArrow(run, "lang string, width int, phrase string, n long")
+    runs = _rows(docs, lang_col, text_col).mapInArrow(run, "key string, n long")
     # runs are merged where their prefix lies; three words, as a pair may begin a great many phrases
-    dealt = runs.withColumn("prefix", F.substring_index("phrase", " ", 3)).repartition("lang", "prefix")
-    return dealt.groupBy("lang", "prefix", "width", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
+    dealt = runs.withColumn("part", F.xxhash64(F.substring_index("key", " ", 3))).repartition("part")
+    merged = dealt.groupBy("part", "key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.expr("substring(key, 1, length(key) - length(substring_index(key, '\\n', -1)) - 1)")
+    return merged.select(lang.alias("lang"), F.when(phrase == "", 0).otherwise(F.size(_words(phrase))).alias("width"), phrase.alias("phrase"), "n")
+
+
+def pair_bits(docs: DataFrame, least: int, words, lang_col: str = "lang", text_col: str = "text", slots: int = PAIR_SLOTS):
+    """A broadcast bit map of the slots whose pairs of frequent words stand ``least`` times at least, taken together.
+
+    A pair that stands so often has its bit set; others may share it.
+    """
+    spark = docs.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_map, own, held, n = words.value, {}, [], 0
+        for lang, texts in _by_lang(batches):
+            if lang not in own:
+                own = own if len(own) < MOST_LANGUAGES else {}
+                own[lang] = _Words(word_map, lang.encode(), 2 * MOST_ENTRIES)
+            ids = own[lang].ids(texts)
+            held.append(own[lang].pair_slots(ids, slots)[1].astype("u4"))
+            if len(own[lang].spelled) > MOST_ENTRIES:
+                del own[lang]
+            n += len(held[-1])
+            if n > MOST_PAIRS:
+                yield _slot_rows(held)
+                held, n = [], 0
+        if n:
+            yield _slot_rows(held)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row not in sums:
+                    sums[row] = np.zeros(SLOT_ROW, "i8")
+                sums[row][np.frombuffer(places, "<u2")] += np.frombuffer(counts, "<u4")
+        if sums:
+            bits = [np.packbits(c >= least, bitorder="little").tobytes() for c in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["row", "bits"])
+
+    slot_rows = _rows(docs, lang_col, text_col).mapInArrow(count, "row int, places binary, counts binary")
+    out = np.zeros((max(1, slots // SLOT_ROW), SLOT_ROW // 8), "u1")
+    for row, bits in slot_rows.repartition("row").mapInArrow(total, "row int, bits binary").toLocalIterator():
+        out[row] = np.frombuffer(bits, "u1")
+    return spark.sparkContext.broadcast(out.tobytes())
+
+
+def _slot_rows(held: list[np.ndarray]) -> pa.RecordBatch:
+    """Counts of the slots, those of a row of the map together: places and counts packed as integers."""
+    slots, counts = np.unique(np.concatenate(held), return_counts=True)
+    rows = slots // SLOT_ROW
+    edges = [0, *(np.flatnonzero(rows[1:] != rows[:-1]) + 1).tolist(), len(slots)]
+    places, counts = (slots % SLOT_ROW).astype("<u2").tobytes(), counts.astype("<u4").tobytes()
+    parts = list(zip(edges[:-1], edges[1:], strict=True))
+    columns = [pa.array(rows[edges[:-1]].astype("i4")), pa.array([places[2 * a : 2 * b] for a, b in parts], pa.binary()), pa.array([counts[4 * a : 4 * b] for a, b in parts], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["row", "places", "counts"])
 
 
 def frequent_bits(spark: SparkSession, frequent: DataFrame):
-    """A broadcast bit map in which the bit of each phrase (``lang``, ``phrase``) is set.
+    """A broadcast bit map in which the bit of each word (``lang``, ``phrase``) is set.
 
-    Sixteen bits for each phrase, but 128 MB at most: beyond that the map only tells
-    fewer phrases apart.
+    Sixteen bits for each word, but 128 MB at most: beyond that the map only tells
+    fewer words apart.
     """
     n = frequent.count()
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n).bit_length()))
@@ -308,13 +384,10 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = 5, inside_
 
     singles = frequent(range(1, 2))
     words = frequent_bits(spark, singles.filter("width = 1"))
-    doubles = frequent(range(2, 3), words)
-    known = singles.union(doubles)
-    if most_words > 2:
-        pairs = frequent_bits(spark, doubles)
-        known = known.union(frequent(range(3, most_words + 1), words, pairs))
-        pairs.unpersist()
+    pairs = pair_bits(docs, least, words, lang_col, text_col)
+    known = singles.union(frequent(range(2, most_words + 1), words, pairs))
     words.unpersist()
+    pairs.unpersist()
     return _ranked(_outermost(_scored(known), inside_percent), top)
 
 
