@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import feeds, sales
+from tidemark.plans import feeds, sales, targets
 
 try:
     import corpus_pipeline
@@ -68,6 +68,14 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_drift": feeds.schema_drift,
         "upsert_stream": feeds.upsert_stream,
         "history_stream": feeds.history_stream,
+        "history_stored": targets.history_stored,
+        "upsert_stored": targets.upsert_stored,
+        "stream_expect_drop": targets.stream_expect_drop,
+        "stream_rule_counters": targets.stream_rule_counters,
+        "stream_expect_fail": targets.stream_expect_fail,
+        "ingest_late_column": targets.ingest_late_column,
+        "ingest_json_inferred": targets.ingest_json_inferred,
+        "snapshot_diff": targets.orders_diff,
         "ingest_json": feeds.ingest_json,
         "ingest_parquet_audit": feeds.ingest_parquet,
         "stream_table_copy": feeds.stream_table_copy,
@@ -421,6 +429,34 @@ def table_sql() -> dict[str, str]:
         """,
         "upsert_stream": _LATEST,
         "history_stream": f"SELECT * FROM ({_HISTORY}) WHERE event_type <> 'error'",
+        "history_stored": f"SELECT * FROM ({_HISTORY}) WHERE event_type <> 'error'",
+        "upsert_stored": _LATEST,
+        "stream_expect_drop": "SELECT * FROM lineitem WHERE l_discount <= 0.08",
+        "stream_rule_counters": """
+            SELECT 'small discount' AS rule, 'expect_or_drop' AS action, count(*) AS rows,
+                   count(*) FILTER (WHERE l_discount > 0.08) AS violations, 3 AS batches FROM lineitem
+            UNION ALL
+            SELECT 'few', 'expect', count(*), count(*) FILTER (WHERE l_quantity >= 45), 3 FROM lineitem
+        """,
+        "stream_expect_fail": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
+        "ingest_late_column": """
+            SELECT o_orderkey, o_custkey, o_totalprice,
+                   CASE WHEN late THEN o_orderstatus END AS o_orderstatus,
+                   CASE WHEN late THEN o_orderdate END AS o_orderdate,
+                   CASE WHEN late THEN o_orderpriority END AS o_orderpriority
+            FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AS late FROM orders)
+        """,
+        "ingest_json_inferred": """
+            SELECT event_id, user_id, CASE WHEN event_type <> 'click' THEN event_type END AS event_type,
+                   CASE WHEN event_type <> 'click' THEN value END AS value FROM events
+        """,
+        "snapshot_diff": """
+            SELECT o_orderkey, o_custkey, o_orderstatus,
+                   CASE o_orderkey % 100 WHEN 3 THEN o_totalprice + 1 WHEN 4 THEN NULL ELSE o_totalprice END AS o_totalprice,
+                   o_orderdate, o_orderpriority,
+                   CASE o_orderkey % 100 WHEN 1 THEN 'insert' WHEN 2 THEN 'delete' ELSE 'update' END AS change
+            FROM orders WHERE o_orderkey % 100 BETWEEN 1 AND 4
+        """,
         "ingest_json": """
             SELECT event_id, user_id, event_type, value, props, 'events' AS source_system
             FROM events

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from tidemark.workspace import is_file, path_exists, publish, qualified_path, st
 
 FORMATS = ("parquet", "json", "csv", "orc")
 CORRUPT_RECORD = "_corrupt_record"
+SOURCE_FILE = "_source_file"
+NEW_COLUMNS = "new columns in landed files"
 
 # JSON values are read as text, so that a later file cannot change a column's type.
 READ_OPTIONS = {
@@ -61,12 +65,14 @@ def _check_format(file_format: str) -> None:
         raise ValueError(f"format must be one of {FORMATS}, not {file_format!r}")
 
 
-def infer_schema(spark: SparkSession, path: str, file_format: str) -> T.StructType:
-    """Schema of the files now in ``path``; every column nullable."""
+def infer_schema(spark: SparkSession, path: str | list[str], file_format: str, modified_after: str | None = None) -> T.StructType:
+    """Schema of the files now in ``path`` (of those changed later, if asked for); every column nullable."""
     _check_format(file_format)
     reader = _reader(spark.read, file_format)
     if file_format in ("parquet", "orc"):
         reader = reader.option("mergeSchema", "true")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
     schema = reader.load(path).schema
     if file_format == "json" and CORRUPT_RECORD not in schema.fieldNames():
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
@@ -90,22 +96,71 @@ def remembered_schema(
 ) -> T.StructType:
     """The columns of all starts so far, in order of appearance.
 
-    Each start looks at the files that are there by then; their new columns are added
-    behind the known ones. A column that comes with another type is an error.
+    Each start opens the files only that came since the last one; their new columns are
+    added behind the known ones. A column that comes with another type is an error.
     """
-    schema = infer_schema(spark, path, file_format)
-    known = None
-    if path_exists(spark, f"{schema_location}/_SUCCESS"):
-        text = spark.read.text(schema_location, wholetext=True).first()[0]
-        known = T.StructType.fromJson(json.loads(text))
+    known, until = recalled_schema(spark, schema_location)
+    newest = _newest(spark, path, until)
+    if known is not None and newest is None:
+        return known
+    schema = infer_schema(spark, path, file_format, until)
+    if known is not None:
         schema = evolved(known, schema)
-    if schema != known:
-        staged = staging_folder(schema_location)
-        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(staged)
-        publish(spark, staged, schema_location)
+    remember_schema(spark, schema_location, schema, newest)
     return schema
 
 
+def recalled_schema(spark: SparkSession, schema_location: str) -> tuple[T.StructType | None, str | None]:
+    """The remembered columns, and the time up to which files have been looked at; None where there is none."""
+    if not path_exists(spark, f"{schema_location}/_SUCCESS"):
+        return None, None
+    found = json.loads(spark.read.text(schema_location, wholetext=True).first()[0])
+    return T.StructType.fromJson(found), found.get("until")
+
+
+def remember_schema(spark: SparkSession, schema_location: str, schema: T.StructType, until: str | None) -> None:
+    text = json.dumps({**schema.jsonValue(), "until": until})
+    staged = staging_folder(schema_location)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(staged)
+    publish(spark, staged, schema_location)
+
+
+def _newest(spark: SparkSession, path: str, after: str | None) -> str | None:
+    """When the newest file came that is not looked at yet, less two seconds, as file times are coarse; files are only listed."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("timeZone", "UTC")
+    if after:
+        reader = reader.option("modifiedAfter", after)
+    at = F.max(F.col("modificationTime") - F.expr("interval 2 seconds"))
+    return reader.load(path).agg(F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+
+
+class NewColumns(ValueError):
+    """Files of a micro-batch hold columns that their stream does not know."""
+
+
+def guarded(write: Callable[[DataFrame, int], None], file_format: str, schema: T.StructType, schema_location: str) -> Callable[[DataFrame, int], None]:
+    """``write`` for micro-batches of a ``file_stream`` with ``name_files``, behind a look at the schema of their files.
+
+    If they hold columns that the stream's ``schema`` lacks, the columns are remembered
+    and the batch fails before anything of it is written or its offset is committed: the
+    next start reads the same files with all their columns. A column of another type
+    fails, too. Only the batch's own files are opened.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        files = [unquote(r[0]) for r in batch.select(SOURCE_FILE).distinct().collect()]
+        if files:
+            wider = evolved(schema, infer_schema(spark, files, file_format))
+            if wider != schema:
+                known, until = recalled_schema(spark, schema_location)
+                remember_schema(spark, schema_location, evolved(known, wider) if known else wider, until)
+                raise NewColumns(f"{NEW_COLUMNS}: {sorted(set(wider.fieldNames()) - set(schema.fieldNames()))}")
+        write(batch.drop(SOURCE_FILE), batch_id)
+
+    return run
+
+
 def evolved(known: T.StructType, found: T.StructType) -> T.StructType:
     """``known`` with the new columns of ``found``; a changed type is refused by name."""
     types = {f.name: f.dataType for f in known.fields}
@@ -123,12 +178,14 @@ def file_stream(
     schema_location: str | None = None,
     audit_source: str | None = None,
     max_files_per_trigger: int | None = None,
+    name_files: bool = False,
 ) -> DataFrame:
     """Each file of a folder once, as a stream; progress is kept by the query's checkpoint.
 
     Without ``schema`` it is inferred by a batch read of all files there; with
-    ``schema_location`` the columns of earlier starts stay. ``audit_source`` appends
-    the audit struct.
+    ``schema_location`` the columns of earlier starts stay and only new files are
+    looked at. ``audit_source`` appends the audit struct, ``name_files`` the file of each
+    row, for ``guarded``.
     """
     _check_format(file_format)
     if schema is None:
@@ -144,4 +201,6 @@ def file_stream(
     # A stream takes folders or patterns; a single file is given as a pattern for itself.
     target = f"{path[:-1]}[{path[-1]}]" if is_file(spark, path) else path
     stream = reader.load(target)
+    if name_files:
+        stream = stream.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     return add_audit(stream, audit_source) if audit_source else stream
