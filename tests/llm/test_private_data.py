@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +117,22 @@ def test_ipv6_and_national_phones(spark):
     assert m and m[1] == m[2] and m[3] == f"{m[4]} {m[5]}" != "030 1234567" and m[6] != "01 23 45 67 89" and m[7] != "988 555 2485"
 
 
+def test_very_long_words_and_rows_of_names_take_linear_time(spark):
+    names = "Dr" + "".join(f" Anna{'abcdefghij'[i % 10]}" for i in range(10_000)) + " spoke."
+    dots = "x@y" + ".ab" * 20_000
+    texts = ["x" * (1 << 20), "A" * (1 << 20) + " a@b.example.com", names, "Dr" + " von" * 10_000 + " x", "Dr J." * 5000, dots, "a-" * 500_000, "0" * (1 << 20), "ab:" * 300_000, "password " * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    start = time.time()
+    rows = {r.doc_id: r for r in replace_private(docs, "key").collect()}
+    assert time.time() - start < 120
+    for i in (0, 3, 6, 7, 8, 9):
+        assert rows[i].text == texts[i] and rows[i].n_replaced == 0
+    assert rows[1].text.startswith("A" * (1 << 20) + " ") and not rows[1].text.endswith(" a@b.example.com")
+    words = rows[2].text.split(" ")
+    assert len(words) == 10_002 and words[0] == "Dr" and words[-1] == "spoke." and "Anna" not in rows[2].text
+    assert rows[5].text.endswith(".ab") and rows[5].n_replaced == 1
+
+
 def test_edges(edge_docs, no_docs):
     same = replace_private(edge_docs, "key")
     assert same.columns == [*edge_docs.columns, "n_replaced"]

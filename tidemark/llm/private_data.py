@@ -36,16 +36,17 @@ SYLLABLES = {
 #: The first attempt in which surrogates are longer than what they stand for.
 WIDER = 6
 _TITLE = "|".join(t for names in TITLES.values() for t in names)
-#: A word of a name, and what may stand between two of them.
-NAME_WORD = r"\p{Lu}(?:\p{L}+(?:['-]\p{L}{2,})*|(?:['-]\p{L}{2,})+)"
+#: A word of a name, and what may stand between two of them. Repetitions are possessive and words have a left
+#: edge, so that no pattern goes back over long words or long rows of names: time and stack are bounded.
+NAME_WORD = r"\p{Lu}(?:\p{L}++(?:['-]\p{L}{2,}+)*+|(?:['-]\p{L}{2,}+)++)"
 _PARTICLE = "von|van|vom|zu|zur|zum|der|den|de|del|della|di|da|do|dos|das|du|la|le|ten|ter|el|al|bin|ibn|y|e"
 #: The words of a name in a text without titles, at word edges.
 ALONE = rf"(?<![\p{{L}}\p{{N}}_]){NAME_WORD}"
 #: Kinds of mentions in the order in which they are tried.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "secret": r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?\"?[A-Za-z0-9+/_\-]{8,}|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9_-]{20,}",
-    "name": rf"\b(?:{_TITLE})\.?(?:\x20(?:{_PARTICLE}))*\x20{NAME_WORD}(?:(?:\x20(?:(?:{_PARTICLE})|\p{{Lu}}\.))*\x20{NAME_WORD})*",
+    "name": rf"\b(?:{_TITLE})\.?(?:\x20(?:{_PARTICLE})(?=\x20))*+\x20{NAME_WORD}(?:(?:\x20(?:(?:{_PARTICLE})(?=\x20)|\p{{Lu}}\.))*+\x20{NAME_WORD})*+",
     "iban": r"\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
     "phone": r"(?<![\w.])\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{2,4}(?:[\x20.-]?\d{2,4}){1,4}\b|(?<![\w.])\(\d{3}\)\x20?\d{3}-\d{4}\b|\b\d{3}[-.]\d{3}[-.]\d{4}\b"
     # national forms: 030 1234567, 0171/123 4567, (030) 1234567, 01 23 45 67 89, 988 555 2485
@@ -78,9 +79,9 @@ def _entity(type_: Column | str, value: Column) -> Column:
 def _entities(kind: Column, mention: Column) -> Column:
     """The entities of a mention, in the order in which they stand in it: type and normal form."""
     words = F.split(mention, r"\x20", -1)
-    title = F.regexp_replace(words[0], r"\.$", "")
+    title = F.regexp_extract(mention, r"^\p{L}+", 0)  # of the mention, not of its words: this is worked out for each word
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("x")
-    named = F.filter(F.slice(words, 2, 1000), lambda w: w.rlike(f"^{NAME_WORD}$"))
+    named = F.filter(F.slice(words, F.lit(2), F.size(words)), lambda w: w.rlike(f"^{NAME_WORD}$"))
     last = F.element_at(named, -1)
     firsts = F.transform(F.slice(named, 1, F.greatest(F.size(named) - 1, F.lit(0))), lambda w: _entity(F.concat(F.lit("first-"), gender, F.lit("-"), _script(w)), F.lower(w)))
     surname = _entity(F.concat(F.lit("surname-"), _script(last)), F.lower(last))
@@ -101,9 +102,8 @@ def _entities(kind: Column, mention: Column) -> Column:
     )
 
 
-def _stream(key: str, *parts: Column) -> Column:
-    """Number ``i`` (from 0) of a keyed stream: a function of i."""
-    seed = F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts])
+def _stream(seed: Column):
+    """Number ``i`` (from 0) of a seed's stream: a function of i."""
 
     def number(i: Column) -> Column:
         return F.pmod(F.xxhash64(F.sha2(F.concat_ws("|", seed, i.cast("string")), 256)), F.lit(1 << 40))
@@ -117,20 +117,24 @@ def _pick(choices: Column, number: Column) -> Column:
 
 def _letters(value: Column, number) -> Column:
     """``value`` with each letter and digit changed for another of its alphabet and case; hexadecimal stays so."""
-    alike = F.when(value.rlike("^[0-9a-f]*$"), "abcdef").otherwise(ALPHABETS["latin"])
 
     def drawn(alphabet, i: Column) -> Column:
         alphabet = alphabet if isinstance(alphabet, Column) else F.lit(alphabet)
         return _pick(F.split(alphabet, ""), number(i))
 
-    def change(c: Column, i: Column) -> Column:
+    def change(alike: Column, c: Column, i: Column) -> Column:
         out = F.when(c.rlike("[0-9]"), F.pmod(number(i), F.lit(10)).cast("string")).when(c.rlike("[a-z]"), drawn(alike, i)).when(c.rlike("[A-Z]"), F.upper(drawn(ALPHABETS["latin"], i)))
         for script in ("cyrillic", "greek"):
             letter = F.when(c == F.upper(c), F.upper(drawn(ALPHABETS[script], i))).otherwise(drawn(ALPHABETS[script], i))
             out = out.when(c.rlike(rf"\p{{Is{script.capitalize()}}}"), letter)
         return out.when(c.rlike(r"\p{L}"), drawn(ALPHABETS["latin"], i)).otherwise(c)
 
-    return F.array_join(F.transform(F.split(value, ""), change), "")
+    # value and alphabet are bound once, not worked out for each character
+    def changed(given: Column) -> Column:
+        return F.array_join(F.transform(F.split(given["value"], ""), lambda c, i: change(given["alike"], c, i)), "")
+
+    alike = F.when(value.rlike("^[0-9a-f]*$"), "abcdef").otherwise(ALPHABETS["latin"])
+    return F.transform(F.array(F.struct(value.alias("value"), alike.alias("alike"))), changed)[0]
 
 
 def _luhn(digits: Column) -> Column:
@@ -177,7 +181,12 @@ def _name(type_: Column, number, attempt: Column) -> Column:
 
 
 def _surrogate(type_: Column, value: Column, attempt: Column, key: str) -> Column:
-    number = _stream(key, type_, value, attempt)
+    # the seed is bound once: a long value is hashed once and not for each of its characters
+    seed = F.sha2(F.concat_ws("|", F.lit(key), type_, value, attempt.cast("string")), 256)
+    return F.transform(F.array(seed), lambda s: _drawn(type_, value, attempt, _stream(s)))[0]
+
+
+def _drawn(type_: Column, value: Column, attempt: Column, number) -> Column:
     domain = F.substring_index(value, "@", -1)
     country = F.greatest(F.length(value) - 10, F.lit(0))
     # letters or digits behind the draw, one more with each attempt
@@ -234,7 +243,7 @@ def _written(kind: Column, mention: Column, parts: Column) -> Column:
     words = F.split(mention, r"\x20", -1)
 
     name = F.aggregate(
-        F.slice(words, 2, 1000),
+        F.slice(words, F.lit(2), F.size(words)),
         F.struct(words[0].alias("out"), F.lit(1).alias("at")),
         lambda s, w: F.when(
             w.rlike(f"^{NAME_WORD}$"), F.struct(F.concat_ws(" ", s["out"], cased(F.get(parts, s["at"] - 1), w)).alias("out"), (s["at"] + 1).alias("at"))
@@ -268,10 +277,12 @@ def replace_private(docs: DataFrame, key: str, id_col: str = "doc_id", text_col:
     """
     docs = docs.select(*[c for c in docs.columns if c != "n_replaced"])
     columns = docs.columns
-    found = F.coalesce(F.col(text_col).rlike(MENTION), F.lit(False))
-    hit = docs.filter(found)
+    # the patterns go over all texts once; what they found travels with the text
+    searched = stored(docs.withColumn("__found", F.regexp_extract_all(F.col(text_col), F.lit(MENTION), F.lit(0))), "searched")
+    found = F.coalesce(F.size("__found"), F.lit(0)) > 0
+    hit = searched.filter(found)
     mentions = (
-        hit.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(MENTION), F.lit(0))).alias("pos", "mention"))
+        hit.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.posexplode("__found").alias("pos", "mention"))
         .withColumn("kind", _kind(F.col("mention")))
         .withColumn("entities", _entities(F.col("kind"), F.col("mention")))
     )
@@ -282,7 +293,8 @@ def replace_private(docs: DataFrame, key: str, id_col: str = "doc_id", text_col:
         single.join(names, ["type", "value"])
         .groupBy("i", "h", "pos", "kind", "mention")
         .agg(F.array_sort(F.collect_set(F.struct("part", "surrogate"))).alias("parts"))
-        .withColumn("new", _written(F.col("kind"), F.col("mention"), F.transform("parts", lambda p: p["surrogate"])))
+        # the list of surrogates is bound once, not worked out for each word of a mention
+        .withColumn("new", F.transform(F.array(F.col("parts.surrogate")), lambda own: _written(F.col("kind"), F.col("mention"), own))[0])
         .groupBy("i", "h")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda p: p["new"]).alias("__new"))
     )
@@ -306,7 +318,7 @@ def replace_private(docs: DataFrame, key: str, id_col: str = "doc_id", text_col:
     text = F.array_join(F.zip_with(between, "__new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = hit.join(rewritten, F.col(id_col).eqNullSafe(F.col("i")) & (F.xxhash64(text_col) == F.col("h")))
     changed = changed.withColumn("n_replaced", (F.size("__new") + more).cast("long")).withColumn(text_col, text).select(*columns, "n_replaced")
-    return changed.union(docs.filter(~found).select(*columns, F.lit(0).cast("long").alias("n_replaced")))
+    return changed.union(searched.filter(~found).select(*columns, F.lit(0).cast("long").alias("n_replaced")))
 
 
 def op3_private(spark: SparkSession, sf_dir: str) -> DataFrame:
