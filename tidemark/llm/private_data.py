@@ -182,7 +182,7 @@ def _name(type_: Column, number, attempt: Column) -> Column:
 
 def _surrogate(type_: Column, value: Column, attempt: Column, key: str) -> Column:
     # the seed is bound once: a long value is hashed once and not for each of its characters
-    seed = F.sha2(F.concat_ws("|", F.lit(key), type_, value, attempt.cast("string")), 256)
+    seed = F.sha2(F.concat_ws("|", F.lit(key), attempt.cast("string"), type_, value), 256)
     return F.transform(F.array(seed), lambda s: _drawn(type_, value, attempt, _stream(s)))[0]
 
 
