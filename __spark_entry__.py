@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import feeds, sales, targets
 
-try:
+if all(getattr(find_spec(name), "origin", None) for name in ("tidemark.llm", "corpus_pipeline")):
     import corpus_pipeline
     from tidemark.llm import queries as corpus
-except ModuleNotFoundError:  # the subpackage can be taken out
+else:  # the subpackage and the pipeline can be taken out; any other import error is raised
     corpus = corpus_pipeline = None
 
 SMALLEST = "/root/testdata/sf0.001"

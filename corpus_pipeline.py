@@ -9,27 +9,46 @@ from tidemark.llm.common import stored, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; models are fitted on the stage's own input."""
+    """Documents whose language is recognised; models are fitted on the stage's own input.
+
+    Null and empty texts and texts without a letter are rejected. Repeated rows and further
+    columns stay as they are; a null language is not learnt from.
+    """
     return language_id.recognised(docs)
 
 
 def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document for each distinct text: that of the largest id."""
+    """One document for each distinct text: that of the largest id.
+
+    Null and empty texts are the same text. Of repeated rows one stays; equal ids are told
+    apart by their other columns. Further columns stay.
+    """
     return exact_dedup.deduplicate(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id."""
-    return near_dedup.deduplicate_near(docs)
+    """One document of each group of near copies, five words and a similarity of 0.8 or more: that of the smallest id.
+
+    Texts without words are copies of nothing and stay. Further columns stay.
+    """
+    return near_dedup.deduplicate_near(docs, percent=80)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them: up to three times, or not at all."""
+    """Documents as often as the mix of sources takes them: up to three times, or not at all.
+
+    A null source is a source, the last one. Texts without words are not taken. Copies are
+    equal rows; further columns stay.
+    """
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's tokens, their spans and the text they decode to, as digests."""
+    """Each document's tokens, their spans and the text they decode to, as digests.
+
+    Text and further columns end here. A null text is encoded as an empty one; repeated
+    rows give repeated rows.
+    """
     return pieces.digests(docs, pieces.public_model())
 
 
