@@ -18,7 +18,7 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [shingle_set(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -30,7 +30,7 @@ def brute(rows):
     for a in range(len(rows)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if sets[a] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if sets[a] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 root[find(a)] = find(b)
     least = {}
     for i, (key, _) in enumerate(rows):
