@@ -60,6 +60,12 @@ class Measure:
             return {}
         return {"v": getattr(F, self.kind)(value)}
 
+    def merge(self, part) -> dict[str, Column]:
+        """Partials of a coarser grouping from those of a finer one."""
+        if self.kind in ("min", "max"):
+            return {"v": getattr(F, self.kind)(part("v"))}
+        return {p: F.sum(part(p)) for p in (("s", "n") if self.kind == "avg" else ("v",))}
+
     def combine(self, part) -> Column:
         """The measure from partial results; ``part(name)`` is a partial's column."""
         if self.kind == "avg":
@@ -186,6 +192,29 @@ class MetricView:
             .select(F.col(_d(label)).alias(label), count_name)
         )
 
+    # -- partial results, to be stored -------------------------------------------
+
+    def partials(self, labels: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        """Rows and partial measures by labels, under the names that ``Measure.combine`` is given."""
+        aggregates = {name: self._measure(name) for name in measures}
+        unfit = [name for name, m in aggregates.items() if m.kind == "count_distinct"]
+        if unfit:
+            raise ValueError(f"distinct counts have no partial results: {unfit}; count a label by words")
+        frame, reduced = self._star(list(labels), aggregates, {}, {}, None)
+        if reduced:
+            return merge_partials(frame, labels, aggregates)
+        parts = [
+            agg.alias(f"_p_{name}_{p}")
+            for name, m in aggregates.items()
+            for p, agg in m.partials(F.col(f"_m_{name}")).items()
+        ]
+        return frame.groupBy(*[_d(lb) for lb in labels]).agg(F.count(F.lit(1)).alias("_rows"), *parts)
+
+    def label_values(self, labels: Sequence[str]) -> DataFrame:
+        """The labels of the fact's rows, reduced to fewer rows where that is cheap."""
+        frame, _ = self._star(list(labels), {}, {}, {}, None)
+        return frame.select(*[_d(lb) for lb in labels])
+
     # -- plan building ---------------------------------------------------------
 
     def _measure(self, name: str) -> Measure:
@@ -269,6 +298,18 @@ class MetricView:
         )
 
 
+def merge_partials(
+    frame: DataFrame, labels: Sequence[str], aggregates: Mapping[str, Measure]
+) -> DataFrame:
+    """Partial results brought to fewer labels."""
+    parts = [
+        agg.alias(f"_p_{name}_{p}")
+        for name, m in aggregates.items()
+        for p, agg in m.merge(lambda p, n=name: F.col(f"_p_{n}_{p}")).items()
+    ]
+    return frame.groupBy(*[_d(lb) for lb in labels]).agg(F.sum("_rows").alias("_rows"), *parts)
+
+
 def _d(label: str) -> str:
     return f"_d_{label}"
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.curve import with_curve_position
 from tidemark.operators.quality import Rule, expectations, row_filter
 from tidemark.workspace import discard, publish, staging_folder
 
@@ -24,12 +25,15 @@ class TableLayout:
     """How a table lies on disk.
 
     ``partition_cols`` become folders. ``cluster_by`` sorts the data by range, so
-    that a filter on those columns reads few row groups. ``files`` fixes the
-    number of write tasks; by default Spark chooses.
+    that a filter on those columns reads few row groups; a filter on a later column
+    alone reads nearly all. ``interleave`` orders by the interleaved bits of several
+    columns' range numbers instead, so that a filter on any one of them skips most
+    row groups. ``files`` fixes the number of write tasks; by default Spark chooses.
     """
 
     partition_cols: Sequence[str] = ()
     cluster_by: Sequence[str] = ()
+    interleave: Sequence[str] = ()
     files: int | None = None
     path: str | None = None
     properties: Mapping[str, str] = field(default_factory=dict)
@@ -43,6 +47,10 @@ def arrange(df: DataFrame, layout: TableLayout) -> DataFrame:
     hint, under which adaptive execution splits oversized partitions and merges
     small ones.
     """
+    if layout.interleave and layout.cluster_by:
+        raise ValueError("a table is clustered by columns in order or interleaved, not both")
+    if layout.interleave:
+        return _interleaved(df, layout)
     if layout.cluster_by:
         order = [F.col(c) for c in layout.cluster_by]
         spread = F.xxhash64(*[F.col(c) for c in df.columns if _is_atomic(df, c)])
@@ -60,6 +68,18 @@ def arrange(df: DataFrame, layout: TableLayout) -> DataFrame:
     return df.repartition(layout.files) if layout.files else df
 
 
+_CURVE = "_curve_position"
+
+
+def _interleaved(df: DataFrame, layout: TableLayout) -> DataFrame:
+    parts = [F.col(c) for c in layout.partition_cols]
+    spread = F.xxhash64(*[F.col(c) for c in df.columns if _is_atomic(df, c)])
+    placed = with_curve_position(df, layout.interleave, _CURVE)
+    order = [*parts, F.col(_CURVE), spread]
+    ranged = placed.repartitionByRange(layout.files, *order) if layout.files else placed.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*parts, _CURVE).drop(_CURVE)
+
+
 def _is_atomic(df: DataFrame, column: str) -> bool:
     return not isinstance(df.schema[column].dataType, (T.MapType, T.ArrayType, T.StructType))
 
