@@ -22,8 +22,8 @@ from tidemark.llm.common import release, stored, table, tasks, text_runs
 from tidemark.llm.shingles import _powers, scrambled, text_bytes
 
 ANCHOR = 20
-#: Anchors with more different segments are split by whole strings.
-MOST_SEGMENTS = 512
+#: What one sort takes of an anchor: segments of less than 2 * length bytes, so 1.6 MB at 100. Beyond, strings are grouped one by one.
+MOST_SEGMENTS = 1 << 13
 CHUNK = 1 << 20
 _POSITION = np.uint64((1 << 21) - 1)
 
