@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from tidemark.llm import repeats
-from tidemark.llm.repeats import equal_strings, remove_repeats
+from tidemark.llm.repeats import equal_strings, may_repeat, remove_repeats
 
 
 def brute(rows, length):
@@ -73,3 +74,23 @@ def test_edges(edge_docs, no_docs):
     assert remove_repeats(no_docs).count() == 0
     with pytest.raises(ValueError, match="length"):
         remove_repeats(no_docs, length=30)
+
+
+def test_segments_left_out_hold_nothing_repeated():
+    draw = random.Random(5)
+    rows = [bytes(draw.choice(b"abc") for _ in range(draw.randrange(20, 60))) for _ in range(300)]
+    rows += [rows[3][:25] + b"x" + rows[7][5:30], b"short", b"z" * 21, b"y" * 20]
+    anchors = np.array([draw.randrange(3) for _ in rows], "i8")
+    found = may_repeat(np.frombuffer(b"".join(rows), "u1"), np.array([len(r) for r in rows]), anchors, 20)
+    strings = [[(a, r[i : i + 20]) for i in range(len(r) - 19)] for a, r in zip(anchors.tolist(), rows, strict=True)]
+    times = Counter(s for own in strings for s in own)
+    assert found.tolist() == [any(times[s] > 1 for s in own) for own in strings]
+    assert 0 < found.sum() < len(rows)
+
+
+def test_an_anchor_with_very_many_segments(spark):
+    draw = random.Random(11)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(130))
+    rows = [(i, f"{draw.getrandbits(200):x} {passage}{draw.getrandbits(200):x}") for i in range(700)]
+    got = {r.doc_id: (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[r[0]] for r in brute(rows, 100)] == brute(rows, 100)

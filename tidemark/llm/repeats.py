@@ -7,6 +7,8 @@ only the first place of each can be new text. Segments of an anchor that differ
 sorted to the threshold's depth; breadth-first backward extension from the empty
 string gives the common prefixes of neighbouring suffixes by increasing value and
 stops at the threshold. What has no value by then is equal, and of equal strings the first stays.
+Segments none of whose strings shares its 64-bit hash with another of the anchor are left out
+of the sort beforehand: they hold nothing that is repeated.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,10 +115,47 @@ def equal_strings(x: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, unset[:n]
 
 
+def _string_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each ``length`` bytes that follow each other."""
+    total = max(len(data) - length + 1, 0)
+    up, down = _powers(1 << 21)
+    out = np.empty(total, "u8")
+    for at in range(0, total, CHUNK):
+        n = min(CHUNK, total - at)
+        part = data[at : at + n + length - 1]
+        sums = np.zeros(len(part) + 1, "u8")
+        np.cumsum((part.astype("u8") + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        out[at : at + n] = scrambled((sums[length:] - sums[:n]) * down[:n])
+    return out
+
+
+def may_repeat(data: np.ndarray, sizes: np.ndarray, anchors: np.ndarray, length: int) -> np.ndarray:
+    """Which of the segments laid end to end hold a string whose hash occurs again under their anchor."""
+    owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - length + 1, 0))
+    first = np.repeat(np.cumsum(sizes) - sizes, np.maximum(sizes - length + 1, 0))
+    _, runs = np.unique(owner, return_index=True)
+    at = first + np.arange(len(owner)) - np.repeat(runs, np.diff(np.append(runs, len(owner))))
+    key = scrambled(_string_hashes(data, length)[at] + anchors.view("u8")[owner])
+    # most hashes are alone in their cell and need not be sorted
+    cell = (key >> np.uint64(42)).astype("i8")
+    met = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)
+    met = met[np.argsort(key[met])]
+    same = key[met][1:] == key[met][:-1]
+    found = np.zeros(len(sizes), bool)
+    found[owner[met[1:][same]]] = True
+    found[owner[met[:-1][same]]] = True
+    return found
+
+
 def _first_places(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Of segments sorted by anchor and place: the strings of each that an earlier segment has too."""
 
     def settle(rows: list) -> pa.RecordBatch:
+        joined = np.frombuffer(b"".join(r[1] for r in rows), "u1")
+        found = may_repeat(joined, np.array([len(r[1]) for r in rows]), np.array([r[0] for r in rows], "i8"), length)
+        rows = [r for r, again in zip(rows, found.tolist(), strict=True) if again]
+        if not rows:
+            return pa.RecordBatch.from_arrays([pa.array([], place_type), pa.array([], pa.list_(pa.int32()))], names=["place", "gone"])
         data = [np.frombuffer(r[1], "u1") for r in rows]
         sizes = np.array([len(d) + 1 for d in data])
         x = np.ones(int(sizes.sum()) + 1, "i2")  # 1 parts the segments, 0 ends them all
@@ -157,6 +197,21 @@ def _first_places(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
         yield settle(rows)
 
 
+def _covered(spots: pa.Array, offsets: np.ndarray, length: int) -> np.ndarray:
+    """Which bytes of texts laid end to end lie in a repeated string; ``spots`` are segments with the strings that go, null for all."""
+    counts = pc.fill_null(pc.list_value_length(spots), 0).to_numpy(zero_copy_only=False)
+    base = np.repeat(np.asarray(offsets[:-1], "i8"), counts)
+    fields = spots.flatten()
+    start, n = base + fields.field(0).to_numpy(), fields.field(1).to_numpy()
+    whole = fields.field(2).is_null().to_numpy(zero_copy_only=False)
+    each = pc.fill_null(pc.list_value_length(fields.field(2)), 0).to_numpy(zero_copy_only=False)
+    single = np.repeat(start, each) + fields.field(2).flatten().to_numpy()
+    begins = np.concatenate([start[whole], single])
+    ends = np.concatenate([start[whole] + n[whole] + length - 1, single + length])
+    size = int(offsets[-1]) + 1
+    return np.cumsum(np.bincount(begins, minlength=size) - np.bincount(ends, minlength=size))[:-1] > 0
+
+
 def _unique_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key`` and ``text``; the key is the id, or the id with a hash of the text if ids repeat."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -266,22 +321,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             for lo, hi in text_runs(batch.column(1)):
                 part = batch.slice(lo, hi - lo)
+                data, offsets = text_bytes(part.column(1))
+                raw = data.tobytes()
+                covered = _covered(part.column(2), offsets, length)
                 out = []
-                for text, spots in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    raw = (text or "").encode()
-                    change = np.zeros(len(raw) + 1, "i4")
-                    for spot in spots or ():
-                        if spot["gone"] is None:  # all its strings
-                            change[spot["start"]] += 1
-                            change[spot["start"] + spot["n"] + length - 1] -= 1
-                        else:
-                            at = np.array(spot["gone"]) + spot["start"]
-                            np.add.at(change, at, 1)
-                            np.add.at(change, at + length, -1)
-                    gone = np.concatenate([[False], np.cumsum(change[:-1]) > 0, [False]])
+                for i in range(hi - lo):
+                    begin, end = int(offsets[i]), int(offsets[i + 1])
+                    gone = np.concatenate([[False], covered[begin:end], [False]])
                     edges = np.flatnonzero(gone[1:] != gone[:-1])
-                    kept = np.frombuffer(raw, "u1")[~gone[1:-1]].tobytes()
-                    out.append((len(raw), len(raw) - len(kept), len(edges) // 2, edges.reshape(-1, 2).tolist(), kept))
+                    kept = raw[begin:end] if not len(edges) else np.frombuffer(raw[begin:end], "u1")[~gone[1:-1]].tobytes()
+                    out.append((end - begin, end - begin - len(kept), len(edges) // 2, edges.reshape(-1, 2).tolist(), kept))
                 cols = list(zip(*out, strict=True))
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.binary()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=["key", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
