@@ -71,6 +71,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_stream": feeds.history_stream,
         "history_stored": targets.history_stored,
         "upsert_stored": targets.upsert_stored,
+        "upsert_stateful": targets.upsert_stateful,
         "stream_expect_drop": targets.stream_expect_drop,
         "stream_rule_counters": targets.stream_rule_counters,
         "stream_expect_fail": targets.stream_expect_fail,
@@ -442,6 +443,7 @@ def table_sql() -> dict[str, str]:
         "history_stream": f"SELECT * FROM ({_HISTORY}) WHERE event_type <> 'error'",
         "history_stored": f"SELECT * FROM ({_HISTORY}) WHERE event_type <> 'error'",
         "upsert_stored": _LATEST,
+        "upsert_stateful": f"SELECT * FROM ({_LATEST}) WHERE event_type <> 'error'",
         "stream_expect_drop": "SELECT * FROM lineitem WHERE l_discount <= 0.08",
         "stream_rule_counters": """
             SELECT 'small discount' AS rule, 'expect_or_drop' AS action, count(*) AS rows,

@@ -13,6 +13,7 @@ from tidemark.plans.sales import table
 from tidemark.sinks.tables import write_files
 from tidemark.sources.files import file_stream
 from tidemark.streaming.buckets import BucketedTarget
+from tidemark.streaming.effective import StatefulTarget
 from tidemark.streaming.ingest import ingest, read_ingested, start_ingest
 from tidemark.streaming.rules import read_counters, read_target, stream_with_rules
 from tidemark.workspace import shared_folder
@@ -43,6 +44,19 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_events(spark, sf_dir).table(spark)
 
 
+def upsert_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event files by keyed state: three land without order, then all events once more, of which only news are logged."""
+    root = shared_folder(spark, "stateful")
+    feed = table(spark, sf_dir, "events")
+    target = StatefulTarget(f"{root}/target", ChangeSpec(["user_id"], "ts", deletes="event_type = 'error'", once=True))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for step in (feed.filter(part > 0).repartition(3, "event_id"), feed):
+        write_files(step, f"{root}/landing", "parquet", "append")
+        stream = file_stream(spark, f"{root}/landing", "parquet", max_files_per_trigger=1)
+        target.start(stream, f"{root}/checkpoint").awaitTermination()
+    return target.table(spark).select(*feed.columns)
+
+
 def _checked_lines(spark: SparkSession, sf_dir: str) -> str:
     root = shared_folder(spark, "checked")
     lines = table(spark, sf_dir, "lineitem")
