@@ -6,9 +6,12 @@ user and an exceptionally large value truncates the target.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.audit import AUDIT_COLUMN, INGEST_SEQUENCE
 from tidemark.operators.changes import ChangeSpec, apply_changes
@@ -175,30 +178,40 @@ def late_batches_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.table(spark).select(*feed.columns)
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Events landed in several files without order, a file a batch, so that later batches bring older rows."""
-    feed = events(spark, sf_dir)
-    write_files(feed.repartition(4, "event_id"), f"{root}/landing", "parquet")
-    return file_stream(spark, f"{root}/landing", "parquet", max_files_per_trigger=1)
+def in_loads(rows: DataFrame, key: str, loads: int) -> list[DataFrame]:
+    """Rows dealt into so many loads by a hash of ``key``, without a shuffle."""
+    load = F.pmod(F.hash(key), F.lit(loads))
+    return [rows.filter(load == number) for number in range(loads)]
+
+
+def follow_loads(loads: Sequence[DataFrame], landing: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Each load lands, in as many files as tasks read it, and is followed as one micro-batch before the next one lands.
+
+    So the number of batches is that of the loads, and no task has to write or read one whole.
+    """
+    for rows in loads:
+        write_files(rows, landing, "parquet", "append")
+        start(file_stream(rows.sparkSession, landing, "parquet")).awaitTermination()
+
+
+def _follow_events(spark: SparkSession, sf_dir: str, target: ChangeTarget, root: str) -> DataFrame:
+    """Events land in several loads without order, so that later batches bring older rows."""
+    loads = in_loads(events(spark, sf_dir), "event_id", 4)
+    follow_loads(loads, f"{root}/landing", lambda stream: target.start(stream, f"{root}/checkpoint"))
+    return target.table(spark)
 
 
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event files as a stream, upserted batch by batch until all are read."""
     root = shared_folder(spark, "upsert")
-    target = ChangeTarget(f"{root}/target", _spec(name="events_upsert", once=True))
-    stream = _event_stream(spark, sf_dir, root)
-    target.start(stream, f"{root}/checkpoint").awaitTermination()
-    return target.table(spark)
+    return _follow_events(spark, sf_dir, ChangeTarget(f"{root}/target", _spec(name="events_upsert", once=True)), root)
 
 
 def history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same stream kept as type 2 history."""
     root = shared_folder(spark, "history")
     spec = _spec(scd_type=2, deletes=DELETES, name="events_history", once=True)
-    target = ChangeTarget(f"{root}/target", spec)
-    stream = _event_stream(spark, sf_dir, root)
-    target.start(stream, f"{root}/checkpoint").awaitTermination()
-    return target.table(spark)
+    return _follow_events(spark, sf_dir, ChangeTarget(f"{root}/target", spec), root)
 
 
 def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:

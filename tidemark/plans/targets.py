@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import ChangeSpec
 from tidemark.operators.quality import Rule
 from tidemark.operators.snapshots import snapshot_diff
+from tidemark.plans.feeds import follow_loads, in_loads
 from tidemark.plans.sales import table
 from tidemark.sinks.tables import write_files
 from tidemark.sources.files import file_stream
@@ -25,12 +26,11 @@ LINE_RULES = [
 
 
 def _stored_events(spark: SparkSession, sf_dir: str, **settings) -> BucketedTarget:
-    """Events landed in four files without order, a file a batch, followed into buckets."""
+    """Events landed in four loads without order, a load a batch, followed into buckets."""
     root = shared_folder(spark, "stored")
-    write_files(table(spark, sf_dir, "events").repartition(4, "event_id"), f"{root}/landing", "parquet")
-    stream = file_stream(spark, f"{root}/landing", "parquet", max_files_per_trigger=1)
     target = BucketedTarget(f"{root}/target", ChangeSpec(["user_id"], "ts", once=True, **settings), buckets=8)
-    target.start(stream, f"{root}/checkpoint").awaitTermination()
+    loads = in_loads(table(spark, sf_dir, "events"), "event_id", 4)
+    follow_loads(loads, f"{root}/landing", lambda stream: target.start(stream, f"{root}/checkpoint"))
     return target
 
 
@@ -45,15 +45,13 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event files by keyed state: three land without order, then all events once more, of which only news are logged."""
+    """The event files by keyed state: three loads land without order, then all events once more, of which only news are logged."""
     root = shared_folder(spark, "stateful")
     feed = table(spark, sf_dir, "events")
     target = StatefulTarget(f"{root}/target", ChangeSpec(["user_id"], "ts", deletes="event_type = 'error'", once=True))
     part = F.pmod(F.xxhash64("event_id"), F.lit(4))
-    for step in (feed.filter(part > 0).repartition(3, "event_id"), feed):
-        write_files(step, f"{root}/landing", "parquet", "append")
-        stream = file_stream(spark, f"{root}/landing", "parquet", max_files_per_trigger=1)
-        target.start(stream, f"{root}/checkpoint").awaitTermination()
+    loads = [*in_loads(feed.filter(part > 0), "event_id", 3), feed]
+    follow_loads(loads, f"{root}/landing", lambda stream: target.start(stream, f"{root}/checkpoint"))
     return target.table(spark).select(*feed.columns)
 
 

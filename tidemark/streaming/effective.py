@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from math import isnan
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,12 @@ SETTINGS = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
+# Columns that Arrow sorts as Spark does.
+SORTED = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampNTZType)
+
+# What a task holds at most while it reduces a log, beside one Arrow batch.
+RUN_ROWS, RUN_BYTES = 50_000, 16 << 20
+
 
 def plain(value):
     """A value without Row or dict, structs as tuples."""
@@ -71,7 +78,8 @@ class _Latest(StatefulProcessor):
         self.latest = handle.getValueState("latest", self.value, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = plain(tuple(self.latest.get())) if self.latest.exists() else None
+        known = self.latest.get()  # each call to the state is a round trip
+        before = None if known is None else plain(tuple(known))
         now = before
         for row in rows:
             now = merged(now, plain(tuple(row))[self.width :], self.by_column)
@@ -83,22 +91,63 @@ class _Latest(StatefulProcessor):
         pass
 
 
-def _in_batches(log: DataFrame, width: int, by_column: bool) -> DataFrame:
-    """The log reduced within each Arrow batch before it is shuffled, so that a hot key sends one row per batch."""
+def _reduced(log: DataFrame, width: int, by_column: bool) -> DataFrame:
+    """The log reduced within runs of Arrow batches, in bounded memory."""
     schema = log.schema
+    sorts = not by_column and all(isinstance(f.dataType, SORTED) for f in schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
-            best: dict = {}
-            for row in zip(*[[plain(v) for v in c.to_pylist()] for c in batch.columns], strict=True):
-                key = position(row[:width])
-                known = best.get(key)
-                best[key] = row if known is None else (*row[:width], *merged(known[width:], row[width:], by_column))
-            yield pa.RecordBatch.from_pylist([_in_fields(row, schema) for row in best.values()], batch.schema)
+            held.append(pa.Table.from_batches([batch]))
+            if sum(t.num_rows for t in held) >= RUN_ROWS or sum(t.nbytes for t in held) >= RUN_BYTES:
+                held = [reduce(held)]
+                if held[0].num_rows > RUN_ROWS // 2 or held[0].nbytes > RUN_BYTES // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from reduce(held).to_batches()
+
+    def reduce(held: list[pa.Table]) -> pa.Table:
+        rows = pa.concat_tables(held).combine_chunks()
+        return _greatest_by_sorting(rows, width) if sorts else _greatest_by_row(rows, schema, width, by_column)
 
     return log.mapInArrow(run, schema)
 
 
+def _greatest_by_row(rows: pa.Table, schema: T.StructType, width: int, by_column: bool) -> pa.Table:
+    best: dict = {}
+    for row in zip(*[[plain(v) for v in c.to_pylist()] for c in rows.columns], strict=True):
+        key = position(row[:width])
+        known = best.get(key)
+        best[key] = row if known is None else (*row[:width], *merged(known[width:], row[width:], by_column))
+    return pa.Table.from_pylist([_in_fields(row, schema) for row in best.values()], rows.schema)
+
+
+def _greatest_by_sorting(rows: pa.Table, width: int) -> pa.Table:
+    """The same for whole rows of plain columns: the last of each key in the order of ``position``."""
+    if not rows.num_rows:
+        return rows
+    parts, keys = {}, []
+    for i, column in enumerate(rows.columns):
+        if pa.types.is_floating(column.type):  # a NaN is equal to itself and last, zeros are equal
+            zero, nan = pa.scalar(0, column.type), pc.is_nan(column)
+            parts[f"{i}_nan"] = nan
+            column = pc.add(pc.if_else(nan, zero, column), zero)
+        parts[f"{i}"] = column
+        if i < width:
+            keys = [*parts]
+    parts["row"] = pa.array(range(rows.num_rows, 0, -1))  # of equal rows the first
+    order = pc.sort_indices(pa.table(parts), [(name, "ascending") for name in parts], null_placement="at_start")
+    last = None
+    for name in keys:
+        part = parts[name].take(order)
+        here, after = part.slice(0, len(part) - 1), part.slice(1)
+        differ = pc.or_(pc.fill_null(pc.not_equal(here, after), False), pc.xor(here.is_null(), after.is_null()))
+        last = differ if last is None else pc.or_(last, differ)
+    ends = pa.chunked_array([*last.chunks, pa.array([True])])
+    return rows.take(order.filter(ends))
+
+
 def _in_fields(value, kind: T.DataType):
     """Structs from tuples back to fields by name."""
     if value is None:
@@ -140,7 +189,10 @@ def effective_changes(stream: DataFrame, spec: ChangeSpec, forget_after: str | N
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
     ttl = None if forget_after is None else int(_milliseconds(stream.sparkSession, forget_after))
     latest = _Latest(schema, width, spec.ignore_null_updates, ttl)
-    passed = _in_batches(rows, width, spec.ignore_null_updates).groupBy(*spec.keys).transformWithState(latest, schema, "Update", "None" if ttl is None else "ProcessingTime")
+    # a hot key sends few rows to the task of its key, and the state gets about one row a key
+    few = _reduced(rows, width, spec.ignore_null_updates).repartition(*spec.keys)
+    fewer = _reduced(few, width, spec.ignore_null_updates)
+    passed = fewer.groupBy(*spec.keys).transformWithState(latest, schema, "Update", "None" if ttl is None else "ProcessingTime")
     return passed.withColumns({c: F.timestamp_micros(c) for c in instants})
 
 
