@@ -44,6 +44,18 @@ def test_loads_hold_each_row_once(spark):
     assert all(found) and sorted(sum(found, [])) == [*range(400)]
 
 
+def test_no_batch_of_lines_is_one_task(spark, tmp_path):
+    stored(lines(spark), tmp_path / "lineitem.parquet")
+    target = targets._checked_lines(spark, str(tmp_path))
+    written = targets.read_target(spark, target, lines(spark).schema)
+    assert sorted(r.l_linenumber for r in written.collect()) == [i for i in range(400) if i % 7 and i % 12 <= 8]
+    per_batch = written.select(F.regexp_extract("_metadata.file_path", r"/(batch=\d+)/", 1).alias("b"), "_metadata.file_path").distinct().groupBy("b").count().collect()
+    assert len(per_batch) == 3 and all(r["count"] > 1 for r in per_batch)
+    counted = targets.read_counters(spark, target).groupBy("rule").agg(F.sum("rows"), F.sum("violations"), F.count_distinct("batch")).collect()
+    dropped = sum(i % 7 == 0 or i % 12 > 8 for i in range(400))
+    assert {tuple(r) for r in counted} == {("small discount", 400, dropped, 3), ("few", 400, 40, 3)}
+
+
 def test_batches_do_not_grow_with_the_files_of_a_table(spark, tmp_path, monkeypatch):
     stored(users(spark), tmp_path / "events.parquet")
     for plans, query, log in ((targets, "upsert_stateful", "target/log"), (targets, "upsert_stored", "target/state"), (feeds, "upsert_stream", "target/log")):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import ChangeSpec
 from tidemark.operators.quality import Rule
@@ -58,9 +59,11 @@ def upsert_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _checked_lines(spark: SparkSession, sf_dir: str) -> str:
     root = shared_folder(spark, "checked")
     lines = table(spark, sf_dir, "lineitem")
-    write_files(lines.repartition(3, "l_orderkey"), f"{root}/landing", "parquet")
-    stream = file_stream(spark, f"{root}/landing", "parquet", max_files_per_trigger=1)
-    stream_with_rules(stream, f"{root}/target", f"{root}/checkpoint", LINE_RULES, schema=lines.schema).awaitTermination()
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        return stream_with_rules(stream, f"{root}/target", f"{root}/checkpoint", LINE_RULES, schema=lines.schema)
+
+    follow_loads(in_loads(lines, "l_orderkey", 3), f"{root}/landing", start)
     return f"{root}/target"
 
 
