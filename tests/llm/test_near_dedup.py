@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_dedup
+from tidemark.llm import language_id, near_dedup
 from tidemark.llm.components import components
 from tidemark.llm.near_dedup import deduplicate_near, near_duplicates
 
@@ -102,3 +105,62 @@ def test_pairs_from_eighty_percent_on(spark):
     assert (near_dedup.matches(85), near_dedup.matches(80)) == (28, 24)
     assert {r.doc_id for r in deduplicate_near(docs).collect()} == {1, 2, 3, 4}
     assert {r.doc_id for r in deduplicate_near(docs, percent=80).collect()} == {1, 3, 4}
+
+
+class Handed:
+    """Stands for the table that a function of batches is handed to: gives back the function."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def most_memory(run):
+    run()  # what is kept between batches is there
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 2**20
+
+
+def test_batches_of_signatures_take_little_memory(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "_hashed", lambda *_: Handed())
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    run = near_dedup.signatures(docs, "doc_id", "text")
+    draw = random.Random(5)
+    texts = [" ".join(f"w{draw.randrange(5000)}" for _ in range(500)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(texts), pa.array(range(3000))], names=["id", "text", "text_hash"])
+
+    def through():
+        for _ in run(iter([batch])):
+            pass
+
+    assert most_memory(through) < 48
+
+
+def test_letters_of_a_batch_take_little_memory():
+    texts = [("some words of one language " * 20000)[:500000]]
+    counts = language_id._counted(iter([pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(texts)], names=["lang", "text"])]))
+    model = language_id.estimate(pa.Table.from_batches(list(counts)).to_pandas())
+    assert most_memory(lambda: language_id.entropies(model, texts)) < 48
+
+
+def test_a_task_counts_the_coordinates_of_few_classes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SHARE", 64)
+    counted, kept = [], near_dedup.stored
+
+    def noted(df, purpose):
+        counted.extend([df._jdf.queryExecution().toString()] * (purpose == "postings"))
+        return kept(df, purpose)
+
+    monkeypatch.setattr(near_dedup, "stored", noted)
+    values = np.random.default_rng(3).integers(0, 90, (640, near_dedup.COORDINATES)).tolist()
+    classes = spark.createDataFrame(list(enumerate(values)), "node long, minima array<int>")
+    posted = near_dedup._posted(classes, 24)
+    holders = {}
+    for node, row in enumerate(values):
+        for at in enumerate(row):
+            holders.setdefault(at, []).append(node)
+    got = posted.collect()
+    assert got and all((r.total, r.hub) == (len(x), min(x)) and r.node in x for r in got for x in [holders[r.place, r.value]])
+    assert len(counted) == 1 and re.search(r"RepartitionByExpression \[node#\d+L?\], 11", counted[0])

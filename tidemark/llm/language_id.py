@@ -26,7 +26,7 @@ UNKNOWN = "und"
 #: Odd multipliers of the letters in an n-gram's hash, the last letter's first.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], "u8")
 COUNTS = "lang string, c0 int, c1 int, c2 int, c3 int, n long"
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -270,7 +270,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for lo, hi in text_runs(batch.column(0), 1 << 20):
+            for lo, hi in text_runs(batch.column(0), 1 << 19):
                 part = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in part.column(0).to_pylist()]
                 if model is None:

@@ -32,6 +32,8 @@ from tidemark.llm.shingles import run_words, scrambled, shingles
 COORDINATES = 48
 SMALL = 16
 BLOCK = 256
+#: Classes whose coordinates one task counts: nearly all differ, so its hash table takes some 50 MB.
+SHARE = 8192
 WIDTH = 5
 _STEP = scrambled(np.arange(1, 2 * COORDINATES + 1, dtype="u8"))
 TIMES, PLUS = _STEP[:COORDINATES] | np.uint64(1), _STEP[COORDINATES:]
@@ -52,7 +54,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_runs(batch.column(1)):
+            for lo, hi in text_runs(batch.column(1), 1 << 19):
                 part = batch.slice(lo, hi - lo)
                 hashes, starts = shingles(*run_words(part.column(1)), width)
                 sizes, prints = [], []
@@ -81,11 +83,17 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
+def _coordinates(classes: DataFrame) -> DataFrame:
+    return classes.select("node", F.posexplode("minima").alias("place", "value"))
+
+
 def _posted(classes: DataFrame, least: int) -> DataFrame:
     """``node``, ``place``, ``value``, with ``total`` and ``hub`` (the smallest class) of the posting: each class under its rarest coordinates."""
-    rows = classes.select("node", F.posexplode("minima").alias("place", "value"))
+    rows = _coordinates(classes)
+    shares = classes.select("node", "minima").repartition(classes.count() // SHARE + 1, "node")
     postings = stored(
-        rows.groupBy("place", "value").agg(F.count("*").alias("total"), F.min("node").alias("hub")).filter("total > 1"), "postings"
+        _coordinates(shares).groupBy("place", "value").agg(F.count("*").alias("total"), F.min("node").alias("hub")).filter("total > 1"),
+        "postings",
     )
     shared = rows.join(postings, ["place", "value"])
     by_rarity = Window.partitionBy("node").orderBy("total", "place")
@@ -204,7 +212,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_runs(batch.column(1)):
+            for lo, hi in text_runs(batch.column(1), 1 << 19):
                 part = batch.slice(lo, hi - lo)
                 hashes, starts = shingles(*run_words(part.column(1)), width)
                 packed = [np.unique(hashes[starts[i] : starts[i + 1]]).tobytes() for i in range(hi - lo)]

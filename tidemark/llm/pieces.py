@@ -384,7 +384,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model)
         for batch in batches:
-            for lo, hi in text_runs(batch.column(1)):
+            for lo, hi in text_runs(batch.column(1), 1 << 19):
                 part = batch.slice(lo, hi - lo)
                 done = list(pieces.encode([t or "" for t in part.column(1).to_pylist()]))
                 columns = [part.column(0), pa.array([i.tobytes() for i, _ in done], pa.binary()), pa.array([s.tobytes() for _, s in done], pa.binary())]

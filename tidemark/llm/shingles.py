@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C55
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype="u1")
@@ -47,7 +47,7 @@ def word_hashes(data: np.ndarray, lower: bool = True) -> np.ndarray:
         starts, stops = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
         if not len(starts):
             continue
-        size = 1 << max(20, (len(part) - 1).bit_length())
+        size = max(SEGMENT, 1 << (len(part) - 1).bit_length())
         up, down = _powers(size)
         sums = np.zeros(len(part) + 1, "u8")
         np.cumsum(((LOWER[part] if lower else part).astype("u8") + np.uint64(1)) * up[: len(part)], out=sums[1:])
